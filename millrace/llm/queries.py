@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import jaccard_join, license_scan, line_dedup, packing, scratch, warc
+from millrace.llm import decontamination, importance, jaccard_join, language_id, license_scan, line_dedup, packing, phrase_fingerprint, scratch, span_dedup, warc
 
 #: Base phrases of op5 and their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -23,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return importance.resample(docs, labels, whole_rows=False)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -56,6 +61,35 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.repeated_spans(_table(spark, sf_dir, "documents"))
+
+
+#: The languages that op7 tells apart.
+LANGUAGES = ["de", "en", "es", "fr"]
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and documents, each under its own id; the text model is fitted on at most 8,000 documents."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    chosen = docs.select("doc_id", "lang").filter(F.col("lang").isin(LANGUAGES)).orderBy(F.xxhash64(F.lit(7), "doc_id")).limit(8000).select("doc_id")
+    model = language_id.train(docs.join(chosen, "doc_id", "left_semi"), LANGUAGES)
+    own = language_id.identify(language_id.document_rows(docs), model, LANGUAGES)
+    web = language_id.identify(language_id.page_rows(pages, LANGUAGES), model, LANGUAGES, html=True)
+    none = F.lit(None).cast("long")
+    rest = ["lang", "confidence", "text_lang", "declared", "address"]
+    return own.select(F.col("id").alias("doc_id"), none.alias("page_id"), *rest).unionByName(web.select(none.alias("doc_id"), F.col("id").alias("page_id"), *rest))
+
+
+def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_fingerprint.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.contaminated(docs, benchmark)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.new_path(spark, "warc")
     warc.write_archives(_table(spark, sf_dir, "pages"), folder)
@@ -63,10 +97,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op2_packing": op2_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_line_dedup": op4_line_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_language_id": op7_language_id,
+    "op8_phrase_fingerprints": op8_phrase_fingerprints,
+    "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
 }
 

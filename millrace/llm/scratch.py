@@ -27,10 +27,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses; ``release`` deletes it."""
+def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A path under the shared folder that nothing else uses; ``release`` deletes it unless kept."""
     path = f"{checkpoint_root(spark)}/millrace/{uuid.uuid4().hex}-{name}"
-    _WRITTEN.append(path)
+    if not keep:
+        _WRITTEN.append(path)
     return path
 
 
