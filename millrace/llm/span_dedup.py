@@ -47,9 +47,10 @@ def _digests(batch: pa.RecordBatch):
                 cuts = lead[np.array(begins)]
             first_word = np.searchsorted(starts[at[i] : at[i + 1]], cuts)
             count = np.diff(np.append(first_word, len(own)))
-            place = np.arange(len(own)) - np.repeat(first_word, count) if len(own) else own
+            place = np.arange(len(own)) - np.repeat(first_word, count)
             mixed = mix(own + place.astype(np.uint64) * U(0xA24BAED4963EE407))
-            sums = np.concatenate([[0], np.cumsum(mixed, dtype=np.uint64)]).astype(np.uint64)
+            sums = np.zeros(len(own) + 1, dtype=np.uint64)
+            np.cumsum(mixed, out=sums[1:])
             ends_word = np.append(first_word[1:], len(own))
             digest = mix((sums[ends_word] - sums[first_word]) + count.astype(np.uint64) * U(0x9FB21C651E98DF25))
             yield row, np.array(begins), np.array(ends), digest, count
