@@ -115,13 +115,34 @@ def _entries(width: int, buckets: int):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one bucket: how many of its n-grams each class shares with another."""
-    blob = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    h, cls, flag, _, more = _grouped(blob("h", np.uint64), blob("cls", np.uint64), blob("flag", bool))
-    own, n = _tally(cls[more & ~flag])
-    done, counts = blob("done", np.uint64), blob("count", np.int64)
-    return pa.table({"cls": np.concatenate([own, done]).view(np.int64), "cnt": np.concatenate([n.astype(np.int64), counts])})
+def _blob(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _shared(buckets: int):
+    """Of one bucket: how many of its n-grams each class shares with another, packed by class."""
+
+    def run(table: pa.Table) -> pa.Table:
+        h, cls, flag, _, more = _grouped(_blob(table, "h", np.uint64), _blob(table, "cls", np.uint64), _blob(table, "flag", bool))
+        own, n = _tally(cls[more & ~flag])
+        cls = np.concatenate([own, _blob(table, "done", np.uint64)])
+        count = np.concatenate([n.astype(np.int64), _blob(table, "count", np.int64)])
+        q = (mix(cls) % U(buckets)).astype(np.int32)
+        order = np.argsort(q, kind="stable")
+        cls, count, q = cls[order], count[order], q[order]
+        kinds, first = np.unique(q, return_index=True)
+        cuts = [*first.tolist(), len(q)]
+        cells = [(cls[a:b].tobytes(), count[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.table({"q": pa.array(kinds, pa.int32()), "cls": pa.array([c for c, _ in cells], pa.binary()), "cnt": pa.array([c for _, c in cells], pa.binary())})
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    cls, at = np.unique(_blob(table, "cls", np.uint64), return_inverse=True)
+    count = np.zeros(len(cls), dtype=np.int64)
+    np.add.at(count, at, _blob(table, "cnt", np.int64))
+    return pa.table({"cls": cls.view(np.int64), "cnt": count})
 
 
 def _full(width: int):
@@ -233,7 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = sized.agg(F.sum("sub")).first()[0] or 0
     buckets = max(12, math.ceil(total / 400_000))
     cells = base.mapInArrow(_entries(width, buckets), "p int, h binary, cls binary, flag binary, done binary, count binary")
-    shared = cells.groupBy("p").applyInArrow(_shared, "cls long, cnt long").groupBy("cls").agg(F.sum("cnt").alias("cnt"))
+    shared = cells.groupBy("p").applyInArrow(_shared(buckets), "q int, cls binary, cnt binary").groupBy("q").applyInArrow(_summed, "cls long, cnt long")
     slack = F.expr(f"n - ceil({num} * n / {den})")
     alive = classes.join(shared, classes.k1 == shared.cls, "left").filter(F.col("sub") - F.coalesce("cnt", F.lit(0)) <= slack)
     alive = scratch.table(alive.select("rep"), "alive").distinct()
