@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 from typing import NamedTuple
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 class Rule(NamedTuple):
     label: str
     priority: int
-    keyword: str  # a rule is tried only where this stands in the words
+    keyword: str  # whole words; a rule is tried only where they stand
     pattern: str  # over lower-case words with one space between
 
 
@@ -68,14 +67,14 @@ VERSIONS = {
 
 #: Sentences of licence texts and notices, with the gate of each.
 SENTENCES = [
-    ("mit", "granted", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("isc", "purpose", "permission to use copy modify and or distribute this software for any purpose"),
+    ("mit", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("bsd", "source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("isc", "permission to use", "permission to use copy modify and or distribute this software for any purpose"),
     ("gpl", "free software", "this program is free software you can redistribute it and or modify it"),
-    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
-    ("zlib", "implied", "this software is provided as is without any express or implied warranty"),
+    ("unlicense", "unencumbered software", "this is free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided", "this software is provided as is without any express or implied warranty"),
     ("public-domain", "public domain", "(?:placed|released|dedicated) (?:in|into|to) the public domain"),
-    ("proprietary", "reserved", "all rights reserved"),
+    ("proprietary", "all rights reserved", "all rights reserved"),
     ("proprietary", "proprietary", "proprietary and confidential"),
 ]
 
@@ -94,17 +93,15 @@ def rules() -> list[Rule]:
     out = []
     for label, names in NAMES.items():
         for name in names:
-            key = max(name.split(), key=len) if len(name.split()) > 1 else name
-            key = next((w for w in name.split() if w not in ("license", "licence", "public", "software", "general", "gnu", "lesser", "creative", "commons")), key)
-            out.append(Rule(label, 1, key, name))
-            out.append(Rule(label, 2, key, _UNDER + name))
+            out.append(Rule(label, 1, name, name))
+            out.append(Rule(label, 2, name, _UNDER + name))
             for v in VERSIONS.get(label, []):
-                out.append(Rule(f"{label}-{v}", 3, key, f"{name} {_version(v)}"))
-                out.append(Rule(f"{label}-{v}", 4, key, f"{_UNDER}{name} {_version(v)}"))
+                out.append(Rule(f"{label}-{v}", 3, name, f"{name} {_version(v)}"))
+                out.append(Rule(f"{label}-{v}", 4, name, f"{_UNDER}{name} {_version(v)}"))
         tag = label.replace("-", " ")
-        out.append(Rule(label, 4, "spdx", f"spdx license identifier {tag}"))
+        out.append(Rule(label, 4, "spdx license identifier", f"spdx license identifier {tag}"))
         for v in VERSIONS.get(label, []):
-            out.append(Rule(f"{label}-{v}", 5, "spdx", f"spdx license identifier {tag} {v.replace('.', ' ')}(?: (?:only|or later))?"))
+            out.append(Rule(f"{label}-{v}", 5, "spdx license identifier", f"spdx license identifier {tag} {v.replace('.', ' ')}(?: (?:only|or later))?"))
     return out + [Rule(label, 5, key, text) for label, key, text in SENTENCES]
 
 
@@ -152,10 +149,11 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", base: dict[str, str]
     """
     table = rules() if table is None else table
     base = base or {}
-    own = [Rule(label, 9, phrase.split()[0], phrase) for phrase, label in base.items()]
+    own = [Rule(label, 9, phrase, phrase) for phrase, label in base.items()]
     ranked = [(r, False) for r in table] + [(r, True) for r in own]
-    rows = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(b).alias("base")) for i, (r, b) in enumerate(ranked)])
-    gate = "|".join(re.escape(k).replace("\\ ", " ") for k in sorted({r.keyword for r, _ in ranked}))
+    rows = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(f" {r.keyword} ").alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(b).alias("base")) for i, (r, b) in enumerate(ranked)])
+    keywords = {f" {r.keyword} " for r, _ in ranked}
+    keywords = sorted(k for k in keywords if not any(o != k and o in k for o in keywords))  # of nested ones the shorter will do
     words = F.col("__words")
 
     def of(rule: Column) -> Column:
@@ -167,7 +165,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", base: dict[str, str]
     kind = "array<struct<start:int,end:int,label:string,priority:int,base:boolean,rank:int>>"
     out = docs.drop("n_words", "detections").withColumn("__words", normalised_words(F.col(text_col)))
     out = out.withColumn("n_words", F.when(words == " ", F.lit(0)).otherwise(_spaces(words) - 1).cast("long"))
-    out = out.withColumn("__found", F.when(words.rlike(gate), all_found).otherwise(F.array().cast(kind)))
+    out = out.withColumn("__found", F.when(reduce(lambda x, y: x | y, [F.contains(words, F.lit(k)) for k in keywords], F.lit(False)), all_found).otherwise(F.array().cast(kind)))
 
     def stays(d: Column) -> Column:
         covers = lambda o: reduce(lambda x, y: x & y, (~o["base"], o["start"] <= d["start"], o["end"] >= d["end"]))
