@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import scratch
 from millrace.llm.text_arrays import PUNCT, U, mix, words
 
 _ENDS = re.compile(r"(?:[.!?]+[ \t]+)|\n")
@@ -86,7 +87,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     each = base.mapInArrow(_unit_rows, "digest long, doc_id long, ord int, words int, start int, end int")
     place = F.struct("doc_id", "start")
-    first = each.groupBy("digest").agg(F.min(place).alias("least"), F.max(place).alias("most")).filter("least <> most").select("digest", "least")
+    first = each.groupBy("digest").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "least")
+    first = scratch.table(first, "first")  # with a shuffle of its own, so that the join below can be split
     later = each.join(first, "digest").filter((F.col("doc_id") != F.col("least.doc_id")) | (F.col("start") != F.col("least.start")))
     run = F.expr("ord - dense_rank() over (partition by doc_id order by ord)")
     own = later.select("doc_id", "ord", "words", "start", "end", "least").distinct().withColumn("run", run)
