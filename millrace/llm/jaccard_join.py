@@ -35,6 +35,7 @@ from millrace.llm.graph import connected_components
 from millrace.llm.text_arrays import WHITE, U, mix, shingles, words
 
 _QUARTER = U(3)
+_STEP = 1 << 21
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray, int, int]]:
@@ -193,8 +194,14 @@ def block_links(ids: list[int], sides: list[int], sets: list[np.ndarray], num: i
         if lo >= i or len(own) * den < num * size[i]:
             continue
         many = freq[own]
-        at = np.repeat(starts[own] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
-        count = np.bincount(post[at], minlength=i)[lo:i]
+        upto = np.cumsum(many)
+        count, done = np.zeros(i - lo, dtype=np.int64), 0
+        while done < len(own):  # a row of the product in bounded steps
+            to = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + _STEP)))
+            part = many[done:to]
+            at = np.repeat(starts[own[done:to]] - (np.cumsum(part) - part), part) + np.arange(int(part.sum()))
+            count += np.bincount(post[at], minlength=i)[lo:i]
+            done = to
         fit = np.flatnonzero(den * count >= num * (size[i] + size[lo:i] - count)) + lo
         if cross:
             fit = fit[sides[fit] != sides[i]]
@@ -269,7 +276,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lowest = prefix.groupBy("h").agg(F.min("node").alias("m"))
     near = prefix.join(lowest, "h").filter("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v"))
     blocks = scratch.table(connected_components(near), "blocks")
-    tiles = blocks.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    heft = F.greatest(F.count(F.lit(1)) / tile, F.sum("n") / (tile * 1000))  # texts, and n-grams: long texts fill a tile sooner
+    weighed = blocks.join(full.select("node", F.size("hs").alias("n")), "node")
+    tiles = weighed.groupBy("component").agg(F.ceil(heft).cast("int").alias("tiles"))
     placed = blocks.join(tiles, "component").withColumn("t", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     pairs = F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(F.expr("sequence(0, tiles - 1)"))
     placed = placed.select("component", "node", "t", F.explode(pairs).alias("o")).select("component", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "node", F.when(F.col("t") <= F.col("o"), 0).otherwise(1).alias("side"))
