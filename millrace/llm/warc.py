@@ -189,7 +189,9 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.when(F.octet_length("html") >= least_bytes, F.sha1(F.encode("html", "UTF-8"))))
     twice = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "last")
-    joined = rows.join(twice, "digest", "left")
+    twice = scratch.table(twice, "digests")  # with a shuffle of its own, so that a hot digest can be split
+    spread = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))  # small payloads meet nothing, and not each other
+    joined = rows.withColumn("digest", F.coalesce("digest", spread)).join(twice, "digest", "left")
     return joined.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
