@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import scratch
+
 _BLANK = " \t\n\v\f\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -39,8 +41,9 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     digests = F.array_distinct(F.array_compact(F.transform(lines, lambda x: line_digest(x, min_chars))))
     each = docs.select(F.col(id_col).alias("__doc"), F.explode(digests).alias("__key"))
-    each = each.select("__doc", F.col("__key.a").alias("__a"), F.col("__key.b").alias("__b")).distinct()
+    each = scratch.table(each.select("__doc", F.col("__key.a").alias("__a"), F.col("__key.b").alias("__b")).distinct(), "lines")
     common = each.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_docs).select("__a", "__b")
+    common = scratch.table(common, "common")  # with a shuffle of its own, so that a hot line can be split
     lost = each.join(common, ["__a", "__b"], "left_semi").groupBy("__doc").agg(F.collect_list(F.struct(F.col("__a").alias("a"), F.col("__b").alias("b"))).alias("__lost"))
     kept = docs.drop("n_lines", "n_dropped").join(lost, F.col(id_col).eqNullSafe(F.col("__doc")), "left").drop("__doc")
     kept = kept.withColumn("__lines", lines)
