@@ -5,8 +5,8 @@
 2. A linked text shares at least ``ceil(t * n)`` of its n n-grams with *some* other class.
    A quarter of the hash range is enough to refute that for nearly every text: the n-grams in
    the quarter that no other class has may not be more than ``n - ceil(t * n)``.  Only those
-   hashes are shuffled (packed, at most two per n-gram and batch), and a common n-gram costs a
-   reducer two entries a batch, not its frequency.
+   hashes are shuffled (packed, at most two per n-gram and packet), and a common n-gram costs a
+   reducer two entries a packet, not its frequency.
 3. Texts that remain send all their n-grams.  Rarest first, ``n - ceil(t * n) + 1`` of them
    must hold one that a linked text shares (prefix filtering; Chaudhuri et al., ICDE 2006;
    Bayardo et al., WWW 2007).  Components over that prefix incidence are the blocks of the product.
@@ -36,6 +36,7 @@ from millrace.llm.text_arrays import WHITE, U, mix, shingles, words
 
 _QUARTER = U(3)
 _STEP = 1 << 21
+_HELD = 1 << 19
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray, int, int]]:
@@ -91,27 +92,35 @@ def _tally(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _entries(width: int, buckets: int):
     schema = pa.schema([("p", pa.int32()), ("h", pa.binary()), ("cls", pa.binary()), ("flag", pa.binary()), ("done", pa.binary()), ("count", pa.binary())])
 
+    def flush(hs: list[np.ndarray], cs: list[np.ndarray], number: int) -> Iterator[pa.RecordBatch]:
+        h, cls = np.concatenate(hs), np.concatenate(cs)
+        h, cls, _, rank, shared = _grouped(h, cls, np.zeros(len(h), dtype=bool))
+        done, count = _tally(cls[shared])
+        send = rank < 2
+        h, cls, shared = h[send], cls[send], shared[send]
+        p = (mix(h) % U(buckets)).astype(np.int32)
+        order = np.argsort(p, kind="stable")
+        h, cls, shared, p = h[order], cls[order], shared[order], p[order]
+        cuts = np.searchsorted(p, np.arange(buckets + 1))
+        rows = [(b, h[x:y].tobytes(), cls[x:y].tobytes(), shared[x:y].tobytes(), b"", b"") for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+        if len(done):
+            rows.append(((number * 7919 + int(done[0] % U(buckets))) % buckets, b"", b"", b"", done.tobytes(), count.astype(np.int64).tobytes()))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
     def run(batches):
-        for number, batch in enumerate(batches):
-            hs, cs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        number, hs, cs, held = 0, [], [], 0
+        for batch in batches:
             for _, own, key, _ in _sets(batch, width):
                 part = own[(own & _QUARTER) == 0]
                 hs.append(part)
                 cs.append(np.full(len(part), key, dtype=np.uint64))
-            h, cls = np.concatenate(hs), np.concatenate(cs)
-            h, cls, _, rank, shared = _grouped(h, cls, np.zeros(len(h), dtype=bool))
-            done, count = _tally(cls[shared])
-            send = rank < 2
-            h, cls, shared = h[send], cls[send], shared[send]
-            p = (mix(h) % U(buckets)).astype(np.int32)
-            order = np.argsort(p, kind="stable")
-            h, cls, shared, p = h[order], cls[order], shared[order], p[order]
-            cuts = np.searchsorted(p, np.arange(buckets + 1))
-            rows = [(b, h[x:y].tobytes(), cls[x:y].tobytes(), shared[x:y].tobytes(), b"", b"") for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
-            if len(done):
-                rows.append(((number * 7919 + int(done[0] % U(buckets))) % buckets, b"", b"", b"", done.tobytes(), count.astype(np.int64).tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+                held += len(part)
+                if held >= _HELD:
+                    yield from flush(hs, cs, number)
+                    number, hs, cs, held = number + 1, [], [], 0
+        if hs:
+            yield from flush(hs, cs, number)
 
     return run
 
