@@ -34,7 +34,7 @@ def _byte_of_char() -> dict[str, int]:
 class WordBpe:
     """slots: size of the table of chunks, a power of two; it is emptied when half full."""
 
-    def __init__(self, path: str, slots: int = 1 << 22):
+    def __init__(self, path: str, slots: int = 1 << 21):
         import regex
         import tiktoken
         from tokenizers import Tokenizer
