@@ -59,7 +59,7 @@ def _digests(batch: pa.RecordBatch):
 
 def _unit_rows(batches):
     names = ["digest", "doc_id", "ord", "words", "start", "end"]
-    for batch in batches:
+    for batch in (b.slice(lo, 1000) for b in batches for lo in range(0, max(b.num_rows, 1), 1000)):
         ids, parts = batch.column(0).to_pylist(), []
         for row, begins, ends, digest, count in _digests(batch):
             if ids[row] is None:
