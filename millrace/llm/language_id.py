@@ -146,7 +146,7 @@ def page_rows(pages: DataFrame, languages: list[str], id_col: str = "page_id", u
     suffix = F.create_map(*[F.lit(x) for kv in SUFFIXES.items() for x in kv])
     tail = F.regexp_extract(host, r"\.([a-z]+)$", 1)
     address = F.coalesce(F.when(segment != "", segment), F.try_element_at(suffix, tail))
-    declared = F.substring(F.lower(F.regexp_extract(F.substring(html, 1, 2000), r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-zA-Z]{2})", 1)), 1, 2)
+    declared = F.substring(F.lower(F.regexp_extract(html, r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-zA-Z]{2})", 1)), 1, 2)
     return pages.select(F.col(id_col).cast("long").alias("id"), html.alias("text"), F.when(declared != "", declared).alias("declared"), address.alias("address"), F.when(host != "", host).alias("host"))
 
 

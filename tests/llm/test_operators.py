@@ -392,6 +392,12 @@ def test_language_id(spark):
     assert language_id.identify(rows.filter("false"), model, langs).count() == 0
 
 
+def test_language_declared_late_in_a_page(spark):
+    pages = [(1, "http://x.example.com/a", "<!-- " + "licence " * 400 + '--><html lang="fr"><body></body></html>'), (2, "http://x.example.com/b", " " * 30_000 + "<HTML class=x LANG=de><p>x"), (3, "http://x.example.com/c", "<!-- " + "x" * 3000 + "--><html><body></body></html>")]
+    rows = language_id.page_rows(spark.createDataFrame(pages, "page_id long, url string, html string"), ["de", "en", "fr"])
+    assert {r.id: r.declared for r in rows.collect()} == {1: "fr", 2: "de", 3: None}
+
+
 def test_scratch_needs_a_shared_folder(spark):
     path = scratch.new_path(spark, "t", keep=True)
     assert path.startswith(scratch.checkpoint_root(spark))
