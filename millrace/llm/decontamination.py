@@ -1,6 +1,6 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact verification.
 
-Items come to the tasks in blocks of bounded size.  A window that can be verified shares a
+Items come to the tasks in blocks of bounded size, with weights counted over all items.  A window that can be verified shares a
 shingle with its item, so windows are those of an item's number of words that a shared
 shingle lines up with it.  Their SimHash (64 bits over weighted shingles; Charikar, 2002) is
 looked up in ``radius + 1`` blocks of bits: fingerprints within the radius agree in one at least,
@@ -43,24 +43,49 @@ class Index(NamedTuple):
     place: np.ndarray
     common: np.ndarray  # distinct hashes and their weights
     weight: np.ndarray
-    top: float  # weight of a shingle that no item has
+    top: float  # weight of a shingle that no item has, or one alone
+    shared: np.ndarray | None  # with more blocks: hashes that several items of any block have, and their weights
+    shared_weight: np.ndarray | None
     seen: np.ndarray
     masks: list[int]
     cells: list[dict[int, np.ndarray]]
 
 
-def build_index(items: list[tuple[int, str]], radius: int, width: int = 5) -> Index:
-    """Items without words are left out."""
-    rows = []
-    for first, h, at, _, _ in words(pa.array([t or "" for _, t in items], pa.string()), PUNCT):
+class Counts(NamedTuple):
+    """Of all items, where one block does not hold them."""
+
+    items: int  # with words
+    shared: np.ndarray  # hashes that two items or more have, sorted
+    df: np.ndarray
+
+
+def _with_words(column: pa.Array, width: int):
+    """(row, number of words, shingles) of each text that has words."""
+    for first, h, at, _, _ in words(column, PUNCT):
         for i in range(len(at) - 1):
             own = h[at[i] : at[i + 1]]
             if len(own):
-                rows.append((items[first + i][0], len(own), shingles(own, width)))
+                yield first + i, len(own), shingles(own, width)
+
+
+def _weight(items: int, df: np.ndarray) -> np.ndarray:
+    return np.log1p(items / np.maximum(df, 1))
+
+
+def build_index(items: list[tuple[int, str]], radius: int, width: int = 5, counts: Counts | None = None) -> Index:
+    """Items without words are left out.  Weights follow the counts; without them, these items are all."""
+    rows = [(items[row][0], n, own) for row, n, own in _with_words(pa.array([t or "" for _, t in items], pa.string()), width)]
     ids, sizes, parts = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.int64), [r[2] for r in rows]
     distinct = [np.unique(p) for p in parts]
     common, df = np.unique(np.concatenate([*distinct, np.zeros(0, np.uint64)]), return_counts=True)
-    weight = np.log1p(len(rows) / np.maximum(df, 1))
+    total = len(rows)
+    if counts:
+        total, df = counts.items, np.ones(len(common), dtype=np.int64)
+        at = np.searchsorted(counts.shared, common)
+        known = at < len(counts.shared)
+        known[known] = counts.shared[at[known]] == common[known]
+        df[known] = counts.df[at[known]]
+    weight = _weight(total, df)
     flat = np.concatenate([*parts, np.zeros(0, np.uint64)])
     order = np.argsort(flat, kind="stable")
     item = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -74,7 +99,7 @@ def build_index(items: list[tuple[int, str]], radius: int, width: int = 5) -> In
     for m in masks:
         keys = prints & U(m)
         cells.append({int(v): np.flatnonzero(keys == v) for v in np.unique(keys)})
-    return Index(ids, sizes, distinct, np.minimum(sizes, width), prints, flat[order], item[order], place[order], common, weight, math.log1p(len(rows)), seen, masks, cells)
+    return Index(ids, sizes, distinct, np.minimum(sizes, width), prints, flat[order], item[order], place[order], common, weight, math.log1p(total), counts.shared if counts else None, _weight(total, counts.df) if counts else None, seen, masks, cells)
 
 
 def _find(index: Index, own: np.ndarray, width: int, radius: int, least: float) -> list[tuple[int, int, int, float]]:
@@ -100,6 +125,11 @@ def _find(index: Index, own: np.ndarray, width: int, radius: int, least: float)
         ok = known < len(index.common)
         ok[ok] = index.common[known[ok]] == runs[maybe][ok]
         weight[maybe[ok]] = index.weight[known[ok]]
+        if index.shared is not None:  # what items of other blocks share weighs less as well
+            known = np.searchsorted(index.shared, runs)
+            ok = known < len(index.shared)
+            ok[ok] = index.shared[known[ok]] == runs[ok]
+            weight[ok] = index.shared_weight[known[ok]]
         for size, s in windows.tolist():
             s = min(s, max(0, len(own) - size))
             part, first = np.unique(runs[s : s + size - k + 1], return_index=True)
@@ -130,14 +160,32 @@ def _hits(index: Index, width: int, radius: int, least: float, text_at: int):
     return each
 
 
+def _counts(items: DataFrame, width: int) -> Counts:
+    """One grouped table of shingle hashes; null stands for an item with words."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, own in _with_words(batch.column(0), width):
+                h = np.unique(own).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(h), pa.nulls(1, pa.int64())])], ["h"])
+
+    df = items.select("t").mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    got = df.filter("n > 1 OR h IS NULL").toArrow()
+    null = got.column("h").is_null().to_numpy()
+    h, n = got.column("h").fill_null(0).to_numpy()[~null].view(np.uint64), got.column("n").to_numpy()
+    order = np.argsort(h)
+    return Counts(int(n[null].sum()), h[order], n[~null][order])
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, radius: int, width: int, block_bytes: int):
-    """The items in as many blocks as their size asks for; each is fetched alone."""
+    """The items in as many blocks as their size asks for; each is fetched alone, and weighs by counts of all."""
     items = benchmark.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).filter("i IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("t") + 64)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
+    counts = _counts(items, width) if blocks > 1 else None
     for b in range(blocks):
         own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b)
-        index = build_index([(r.i, r.t) for r in own.orderBy("i").collect()], radius, width)
+        index = build_index([(r.i, r.t) for r in own.orderBy("i").collect()], radius, width, counts)
         if index.ids:
             yield index
 
@@ -147,8 +195,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item in each text that holds one.
 
     Words are lower-cased (A-Z) and end at ASCII marks and blanks.  Shingles are of ``width`` words
-    (an item of fewer words: all of them).  Weights fall with the number of items of a block that
-    have a shingle.  Null texts and items hold nothing, items with a null id are left out, items
+    (an item of fewer words: all of them).  Weights fall with the number of items of the whole
+    benchmark that have a shingle; with more than one block, each holds the hashes that several items share.  Null texts and items hold nothing, items with a null id are left out, items
     without words match nothing.  Rows are judged alone, so repeated rows give repeated hits
     and no key can be hot.  Other columns are ignored.  The corpus is read once a block.
     """

@@ -335,6 +335,17 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.without_contaminated(table, bench.filter("false")).count() == len(rows)
 
 
+def test_decontamination_weighs_by_all_items(spark):
+    common = [f"c{k}" for k in range(29)]
+    items = [(i, " ".join([*[f"i{i}w{k}" for k in range(29)], *common])) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, " ".join([*t.split()[:29], *common[:12], *[f"x{i}y{k}" for k in range(17)]])) for i, t in items]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, blocks = ({(r.doc_id, r.item_id): (r.first_word, r.n_words, r.distance, r.similarity) for r in decontamination.contaminated(table, bench, block_bytes=size).collect()} for size in (8 << 20, 5000))
+    assert len(whole) > 30 and blocks == whole
+    assert decontamination.without_contaminated(table, bench, block_bytes=5000).count() == 40 - len(whole)
+
+
 def test_decontamination_finds_every_exact_passage(spark):
     table, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     held = {(d.doc_id, b.item_id) for d in table.collect() for b in bench.collect() if b.text in (d.text or "")}
