@@ -1,6 +1,7 @@
 """WARC archives in Zstandard with a dictionary in a leading skippable frame (``.warc.zst``).
 
-Each archive trains its own dictionary on its first records, puts it into a skippable frame
+Each archive trains its own dictionary on its first records (or, where they are too few to train on,
+takes their bytes as one), puts it into a skippable frame
 (magic number 0x184D2A5D, little-endian length) at the start of the file, and compresses every
 record as a frame of its own, so a reader can start at any record's offset.
 """
@@ -88,11 +89,14 @@ class Writer:
     def _start(self) -> None:
         import zstandard
 
-        raw = train_dictionary(self.first, self.dictionary_bytes)
+        raw = frame = train_dictionary(self.first, self.dictionary_bytes)
+        if not raw and self.first:  # too few records to train on: their own bytes, compressed in the frame
+            raw = b"".join(self.first)[: self.dictionary_bytes]
+            frame = zstandard.ZstdCompressor(level=self.level).compress(raw)
         given = {"dict_data": zstandard.ZstdCompressionDict(raw)} if raw else {}
         self.compress = zstandard.ZstdCompressor(level=self.level, **given)
         if raw:
-            self._put(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
+            self._put(struct.pack("<II", DICTIONARY_MAGIC, len(frame)) + frame)
         for x in self.first:
             self._put(self.compress.compress(x))
         self.first = []

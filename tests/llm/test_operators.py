@@ -409,6 +409,17 @@ def test_language_declared_late_in_a_page(spark):
     assert {r.id: r.declared for r in rows.collect()} == {1: "fr", 2: "de", 3: None}
 
 
+def test_small_archives_have_a_dictionary():
+    for n in (1, 3):
+        records = [warc.record(i, f"http://x.example.com/{i}", b"<html>same words in all pages" * 9, None) for i in range(n)]
+        writer = warc.Writer()
+        for x in records:
+            writer.add(x)
+        data = writer.close()
+        assert data[:4] == warc.DICTIONARY_MAGIC.to_bytes(4, "little")
+        assert list(warc.read_archive(data)) == records
+
+
 def test_scratch_needs_a_shared_folder(spark):
     path = scratch.new_path(spark, "t", keep=True)
     assert path.startswith(scratch.checkpoint_root(spark))
