@@ -33,5 +33,6 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        flat = scratch.table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        flat, old = scratch.table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges"), flat
+        scratch.drop(old)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

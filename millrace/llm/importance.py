@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import scratch
+from millrace.llm import scratch, worker
 from millrace.llm.text_arrays import WHITE, U, mix, words
 
 _FIT, _TEST = 0, 1
@@ -43,7 +43,7 @@ def _counts(buckets: int):
 
 def corpus_counts(texts: DataFrame, buckets: int) -> np.ndarray:
     """How often each bucket occurs in all texts; the driver gets one number a bucket."""
-    parts = texts.mapInArrow(_counts(buckets), "counts array<long>").select(F.posexplode("counts").alias("bucket", "n")).filter("n > 0")
+    parts = texts.mapInArrow(worker.lean(_counts(buckets)), "counts array<long>").select(F.posexplode("counts").alias("bucket", "n")).filter("n > 0")
     out = np.zeros(buckets, dtype=np.int64)
     for r in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r[0]] = r[1]
@@ -56,8 +56,8 @@ def log_ratio(target: np.ndarray, raw: np.ndarray, smoothing: float = 1.0) -> np
     return p(target) - p(raw)
 
 
-def _scores(ratio: np.ndarray, seed: int, temperature: float, id_at: int, text_at: int):
-    """Appends the weight (log ratio over the root of the number of n-grams) and the Gumbel key."""
+def _scores(ratio: np.ndarray, seed: int, temperature: float, id_at: int, text_at: int, whole: bool = True):
+    """The columns up to text_at, or all, with the weight (log ratio over the root of the number of n-grams) and the Gumbel key."""
 
     def run(batches):
         for batch in batches:
@@ -68,7 +68,8 @@ def _scores(ratio: np.ndarray, seed: int, temperature: float, id_at: int, text_a
             ids = np.array([x if x is not None else -1 for x in batch.column(id_at).to_pylist()], dtype=np.int64)
             u = (mix(ids.view(np.uint64) * U(0x9E3779B97F4A7C15) + U(seed)) >> U(11)).astype(np.float64)
             key = weight / temperature - np.log(-np.log((u + 0.5) / 2.0**53))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight), pa.array(key)], [*batch.schema.names, "log_weight", "gumbel_key"])
+            n = batch.num_columns if whole else text_at
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(weight), pa.array(key)], [*batch.schema.names[:n], "log_weight", "gumbel_key"])
 
     return run
 
@@ -128,7 +129,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     fit = text.join(chosen.filter((F.col("part") == _FIT) & (F.col("quality") == 1)), text.doc_id == F.col("__id"), "left_semi")
     ratio = log_ratio(corpus_counts(fit.select("text"), buckets), corpus_counts(text.select("text"), buckets))
-    light = scratch.table(text.mapInArrow(_scores(ratio, seed, temperature, 0, 1), "doc_id long, text string, log_weight double, gumbel_key double").drop("text"), "scored")
+    light = scratch.table(text.mapInArrow(worker.lean(_scores(ratio, seed, temperature, 0, 1, whole=False)), "doc_id long, log_weight double, gumbel_key double"), "scored")
     if k is None:
         held = light.join(chosen.filter(F.col("part") == _TEST), light.doc_id == F.col("__id")).groupBy("doc_id", "quality").agg(F.max("log_weight").alias("w")).collect()  # at most most_labelled rows
         cut = choose_threshold(np.array([r.w for r in held if r.quality == 1]), np.array([r.w for r in held if r.quality != 1]))
@@ -137,5 +138,5 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     if not whole_rows:
         return light.filter(F.col("gumbel_key") >= least)
     kind = docs.withColumns({"log_weight": F.lit(0.0), "gumbel_key": F.lit(0.0)}).schema
-    again = docs.mapInArrow(_scores(ratio, seed, temperature, docs.columns.index(id_col), docs.columns.index(text_col)), kind)
+    again = docs.mapInArrow(worker.lean(_scores(ratio, seed, temperature, docs.columns.index(id_col), docs.columns.index(text_col))), kind)
     return again.filter(F.col("gumbel_key") >= least)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import scratch, word_bpe
+from millrace.llm import scratch, word_bpe, worker
 
 
 def combinations(present: np.ndarray, window: int, partners: int = 12, least: int = 64) -> list[tuple[int, ...]]:
@@ -195,10 +195,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = scratch.table(base.mapInArrow(_cut(tokenizer, window, end_id), _PIECES), "pieces")
+    pieces = scratch.table(base.mapInArrow(worker.lean(_cut(tokenizer, window, end_id)), _PIECES), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}  # at most window rows
     before = counts.select("part", "length", F.expr("sum(n) over (partition by length order by part) - n").alias("before"))
     ranked = pieces.join(before, ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("rank") + F.col("before")).alias("rank"))
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return ranked.mapInArrow(_place(slots(plan(histogram, window), window)), kind)
+    return ranked.mapInArrow(worker.lean(_place(slots(plan(histogram, window), window))), kind)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import scratch
+from millrace.llm import scratch, worker
 from millrace.llm.text_arrays import U, mix, powers
 
 BINS = 64
@@ -135,7 +135,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", name: str = "fingerpri
             texts = [x or "" for x in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(write(sketches(texts)), pa.string())], [*batch.schema.names, name])
 
-    return docs.drop(name).mapInArrow(run, kind.schema)
+    return docs.drop(name).mapInArrow(worker.lean(run), kind.schema)
 
 
 _KINDS = "kind int, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, text string"
@@ -163,18 +163,18 @@ def _along(batches):
     """Each row with the next of its partition; the first and the last row leave with their texts."""
     part, carry = TaskContext.get().partitionId(), None
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1000):
-            piece = batch.slice(lo, 1000)
-            ids, texts = piece.column(0).to_pylist(), [x or "" for x in piece.column(1).to_pylist()]
-            own, out = sketches(texts), []
-            if carry is None:
-                out.append((1, part, ids[0], None, None, None, None, None, None, texts[0]))
-            else:
-                ids, texts, own = [carry[0], *ids], [carry[1], *texts], np.concatenate([carry[2], own])
-            rows = _pair_rows(ids[:-1], texts[:-1], own[:-1], texts[1:], own[1:]) if len(ids) > 1 else []
-            out += [(0, part, *r, None) for r in rows]
-            carry = ids[-1], texts[-1], own[-1:]
-            yield _batch(out)
+        if not batch.num_rows:
+            continue
+        ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
+        own, out = sketches(texts), []
+        if carry is None:
+            out.append((1, part, ids[0], None, None, None, None, None, None, texts[0]))
+        else:
+            ids, texts, own = [carry[0], *ids], [carry[1], *texts], np.concatenate([carry[2], own])
+        rows = _pair_rows(ids[:-1], texts[:-1], own[:-1], texts[1:], own[1:]) if len(ids) > 1 else []
+        out += [(0, part, *r, None) for r in rows]
+        carry = ids[-1], texts[-1], own[-1:]
+        yield _batch(out)
     if carry is not None:
         yield _batch([(2, part, carry[0], None, None, None, None, None, None, carry[1])])
 
@@ -205,11 +205,11 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = base.withColumn("tie", F.xxhash64("text"))
     keys = [F.col("doc_id").desc_nulls_last(), F.col("tie").asc()]
     ordered = base.repartitionByRange(*keys).sortWithinPartitions(*keys, F.col("text").asc())
-    done = scratch.table(ordered.select("doc_id", "text").mapInArrow(_along, _KINDS), "fingerprints")
+    done = scratch.table(ordered.select("doc_id", "text").mapInArrow(worker.lean(_along), _KINDS), "fingerprints")
     heads = done.filter("kind = 1").select(F.col("part").alias("head"), F.col("text").alias("following"))
     tails = done.filter("kind = 2").select("part", "doc_id", "text")
     # One row a partition: the next partition that has rows, or the first.
     parts = done.filter("kind = 1").select("part").selectExpr("part", "coalesce(lead(part) over (order by part), min(part) over ()) AS head")
     loose = tails.join(parts, "part").join(heads, "head").select("doc_id", "text", "following")
-    whole = done.filter("kind = 0").unionByName(loose.mapInArrow(_across, _KINDS))
+    whole = done.filter("kind = 0").unionByName(loose.mapInArrow(worker.lean(_across), _KINDS))
     return whole.drop("kind", "part", "text")

@@ -2,17 +2,21 @@
 
 A written table survives lost executors and is computed once.  ``checkpoint_root`` reads the
 setting from the session; only where it is unset *and* the master is local (tests) does it
-make a folder of its own.
+make a folder of its own.  Tables live as long as the results that read them may: who knows
+when that ends wraps the calls in ``temporary``; else they stay for the folder's owner to clean.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_WRITTEN: list[str] = []
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -27,11 +31,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
-    """A path under the shared folder that nothing else uses; ``release`` deletes it unless kept."""
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that nothing else uses."""
     path = f"{checkpoint_root(spark)}/millrace/{uuid.uuid4().hex}-{name}"
-    if not keep:
-        _WRITTEN.append(path)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     return path
 
 
@@ -43,9 +48,47 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table written so far; only for callers whose results are written elsewhere."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(hadoop).delete(path, True)
+def delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table that ``table`` returned and that nothing reads any more."""
+    root = checkpoint_root(df.sparkSession).rpartition(":")[2].rstrip("/") + "/millrace/"
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if root in path:
+            delete(df.sparkSession, path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Paths made inside, by this thread, are deleted at the end; what reads them must have been written by then.
+
+    Yields a function like ``table`` for what is to outlive the block.
+    """
+    outer = _WRITTEN.get()
+    held = _WRITTEN.set([])
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = new_path(spark, name)
+        df.write.parquet(path)
+        _WRITTEN.get().remove(path)
+        if outer is not None:
+            outer.append(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        for path in _WRITTEN.get():
+            delete(spark, path)
+        _WRITTEN.reset(held)
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, in any case."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

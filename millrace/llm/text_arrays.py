@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from millrace.llm import worker
+
 U = np.uint64
 SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C13  # 3 modulo 8, so that powers differ in low bits
@@ -41,6 +43,7 @@ PUNCT[:0x80] = True
 PUNCT[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
 
 _powers: list[np.ndarray] = []
+worker.KEPT.append(_powers)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from millrace.llm import worker
 from millrace.llm.text_arrays import WHITE, U, string_buffers, words
 
 #: Characters that need no normal form, and whose lower case is one character.
@@ -146,10 +147,11 @@ class WordBpe:
 
 
 _LOADED: dict[str, WordBpe] = {}
+worker.KEPT.append(_LOADED)
 
 
 def load(path: str) -> WordBpe:
-    """One copy for each worker process."""
+    """One copy for each task."""
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path)
     return _LOADED[path]
