@@ -1,11 +1,15 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact verification.
 
-Items come to the tasks in blocks of bounded size, with weights counted over all items.  A window that can be verified shares a
-shingle with its item, so windows are those of an item's number of words that a shared
-shingle lines up with it.  Their SimHash (64 bits over weighted shingles; Charikar, 2002) is
-looked up in ``radius + 1`` blocks of bits: fingerprints within the radius agree in one at least,
-so none is missed (multi-index hashing; Norouzi et al., 2012).  What lies within the radius is
-verified: the weight of the item's shingles that stand in the window over that of all of them.
+A text's windows of an item's number of words get a SimHash (64 bits over weighted shingles;
+Charikar, 2002) from a rolling sum over the text.  It is looked up in blocks of 16 bits (multi-index
+hashing; Norouzi et al., 2012): each block is searched within its share of the radius, and
+as the shares and the number of blocks add up to more than the radius, no item within it is missed, while
+of unrelated items few come up.  Candidates within the radius are verified: the weight of
+the item's shingles that stand in the window over that of all of them.
+
+A window that holds no shingle of any item of its size cannot be verified and is not hashed; all
+others are, at every place.  Items come to the tasks in blocks of bounded size, with weights
+counted over all items.
 """
 
 from __future__ import annotations
@@ -18,16 +22,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import worker
 from millrace.llm.text_arrays import PUNCT, U, shingles, words
 
-_BITS = np.arange(64, dtype=np.uint64)
 _FILTER = 1 << 20
+_KEY = 16  # bits of a block
+_UNIT = 1 << 12  # weights are whole multiples of 1 / _UNIT, so that rolling sums are exact
+_STRETCH = 2048  # windows hashed at once
+_PROBES = 1 << 20  # cells looked at at once
+#: Signs of the bits of a byte.
+_SIGNS = np.array([[1 if x >> b & 1 else -1 for b in range(8)] for x in range(256)], dtype=np.int32)
 
 
-def simhash(hashes: np.ndarray, weights: np.ndarray) -> int:
-    """Each bit: whether the shingles with the bit outweigh those without."""
-    signs = ((hashes[:, None] >> _BITS) & U(1)).astype(np.float64) * 2 - 1
-    return int((((weights @ signs) > 0).astype(np.uint64) << _BITS).sum())
+def simhashes(hashes: np.ndarray, weights: np.ndarray, length: int) -> np.ndarray:
+    """Of each run of length shingles: each bit, whether the shingles with the bit outweigh those without."""
+    signs = _SIGNS[hashes.astype("<u8").view(np.uint8)].reshape(-1, 64) * weights[:, None]
+    sums = np.zeros((len(hashes) + 1, 64), dtype=np.int64)
+    np.cumsum(signs, axis=0, out=sums[1:])
+    return np.packbits(sums[length:] > sums[:-length], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def shares(radius: int) -> list[int]:
+    """Bits within which each block is searched: prints within the radius lie within one of them."""
+    blocks = 64 // _KEY
+    return [(radius + 1 + b) // blocks - 1 for b in range(blocks)]
+
+
+def flips(within: int) -> np.ndarray:
+    """All keys of at most so many bits."""
+    keys = np.arange(1 << _KEY, dtype=np.uint16)
+    return keys[np.bitwise_count(keys) <= within] if within >= 0 else keys[:0]
+
+
+class Cells(NamedTuple):
+    """Of one block of bits: items by key."""
+
+    shift: int
+    start: np.ndarray
+    count: np.ndarray
+    items: np.ndarray
+
+
+def _cells(prints: np.ndarray) -> list[Cells]:
+    out = []
+    for shift in range(0, 64, _KEY):
+        keys = (prints >> U(shift)).astype(np.uint16)
+        count = np.bincount(keys, minlength=1 << _KEY).astype(np.int32)
+        out.append(Cells(shift, (np.cumsum(count) - count).astype(np.int32), count, np.argsort(keys, kind="stable")))
+    return out
+
+
+def within_radius(prints: np.ndarray, cells: list[Cells], item_prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """All (index of a print, item) whose prints differ in at most radius bits, in order."""
+    out = [np.zeros(0, dtype=np.int64)]
+    n = len(item_prints)
+    for c, share in zip(cells, shares(radius), strict=True):
+        near = flips(share)
+        keys = (prints >> U(c.shift)).astype(np.uint16)
+        step = max(1, _PROBES // max(1, len(near)))
+        for lo in range(0, len(keys), step):
+            probe = keys[lo : lo + step, None] ^ near
+            many = c.count[probe]
+            at = np.nonzero(many)
+            many, begin = many[at].astype(np.int64), c.start[probe[at]]
+            items = c.items[np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
+            which = np.repeat(at[0] + lo, many)
+            ok = np.bitwise_count(prints[which] ^ item_prints[items]) <= radius
+            out.append(which[ok] * n + items[ok])
+    pairs = np.unique(np.concatenate(out))
+    return pairs // max(n, 1), pairs % max(n, 1)
 
 
 class Index(NamedTuple):
@@ -38,17 +101,15 @@ class Index(NamedTuple):
     shingles: list[np.ndarray]  # distinct, sorted
     width: np.ndarray  # words of an item's shingles
     prints: np.ndarray
-    hashes: np.ndarray  # all shingles, sorted, with item and place
-    item: np.ndarray
-    place: np.ndarray
     common: np.ndarray  # distinct hashes and their weights
     weight: np.ndarray
-    top: float  # weight of a shingle that no item has, or one alone
+    first: np.ndarray  # of each such hash: where its numbers of words begin in lengths
+    lengths: np.ndarray  # numbers of words of the items that have the hash
+    top: int  # weight of a shingle that no item has, or one alone
     shared: np.ndarray | None  # with more blocks: hashes that several items of any block have, and their weights
     shared_weight: np.ndarray | None
     seen: np.ndarray
-    masks: list[int]
-    cells: list[dict[int, np.ndarray]]
+    cells: list[Cells]
 
 
 class Counts(NamedTuple):
@@ -69,7 +130,15 @@ def _with_words(column: pa.Array, width: int):
 
 
 def _weight(items: int, df: np.ndarray) -> np.ndarray:
-    return np.log1p(items / np.maximum(df, 1))
+    return np.rint(np.log1p(items / np.maximum(df, 1)) * _UNIT).astype(np.int32)
+
+
+def _known(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of h are among the sorted hashes, and where."""
+    at = np.searchsorted(sorted_hashes, h)
+    ok = at < len(sorted_hashes)
+    ok[ok] = sorted_hashes[at[ok]] == h[ok]
+    return ok, at[ok]
 
 
 def build_index(items: list[tuple[int, str]], radius: int, width: int = 5, counts: Counts | None = None) -> Index:
@@ -77,75 +146,68 @@ def build_index(items: list[tuple[int, str]], radius: int, width: int = 5, count
     rows = [(items[row][0], n, own) for row, n, own in _with_words(pa.array([t or "" for _, t in items], pa.string()), width)]
     ids, sizes, parts = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.int64), [r[2] for r in rows]
     distinct = [np.unique(p) for p in parts]
-    common, df = np.unique(np.concatenate([*distinct, np.zeros(0, np.uint64)]), return_counts=True)
+    flat = np.concatenate([*distinct, np.zeros(0, np.uint64)])
+    common, df = np.unique(flat, return_counts=True)
     total = len(rows)
     if counts:
         total, df = counts.items, np.ones(len(common), dtype=np.int64)
-        at = np.searchsorted(counts.shared, common)
-        known = at < len(counts.shared)
-        known[known] = counts.shared[at[known]] == common[known]
-        df[known] = counts.df[at[known]]
+        ok, at = _known(counts.shared, common)
+        df[ok] = counts.df[at]
     weight = _weight(total, df)
-    flat = np.concatenate([*parts, np.zeros(0, np.uint64)])
-    order = np.argsort(flat, kind="stable")
-    item = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    place = np.concatenate([*[np.arange(len(p)) for p in parts], np.zeros(0, np.int64)]).astype(np.int64)
-    prints = np.array([simhash(p, weight[np.searchsorted(common, p)]) for p in distinct], dtype=np.uint64)
+    prints = np.array([simhashes(p, weight[np.searchsorted(common, p)], len(p))[0] for p in parts], dtype=np.uint64)
+    pairs = np.unique(np.stack([np.searchsorted(common, flat), np.repeat(sizes, [len(d) for d in distinct])], axis=1), axis=0)
+    first = np.searchsorted(pairs[:, 0], np.arange(len(common) + 1))
     seen = np.zeros(_FILTER, dtype=bool)
     seen[(common & U(_FILTER - 1)).astype(np.int64)] = True
-    edges = np.linspace(0, 64, radius + 2).astype(int)
-    masks = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    cells: list[dict[int, np.ndarray]] = []
-    for m in masks:
-        keys = prints & U(m)
-        cells.append({int(v): np.flatnonzero(keys == v) for v in np.unique(keys)})
-    return Index(ids, sizes, distinct, np.minimum(sizes, width), prints, flat[order], item[order], place[order], common, weight, math.log1p(total), counts.shared if counts else None, _weight(total, counts.df) if counts else None, seen, masks, cells)
+    top = int(_weight(total, np.ones(1))[0])
+    return Index(ids, sizes, distinct, np.minimum(sizes, width), prints, common, weight, first, pairs[:, 1], top, counts.shared if counts else None, _weight(total, counts.df) if counts else None, seen, _cells(prints))
+
+
+def _windows(index: Index, at: np.ndarray, which: np.ndarray, k: int, width: int, n_runs: int):
+    """(words of a window, first and last start) for stretches of windows that hold a shingle of an item of their size."""
+    many = index.first[which + 1] - index.first[which]
+    size = index.lengths[np.repeat(index.first[which] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
+    at = np.repeat(at, many)
+    for n in np.unique(size).tolist():
+        if min(n, width) != k:
+            continue
+        own = at[size == n]
+        last = max(0, n_runs - (n - k + 1))  # a text shorter than the item is one window
+        lo, hi = np.clip(own - (n - k), 0, last), np.minimum(own, last)
+        head = np.flatnonzero(np.append(True, lo[1:] > hi[:-1] + 1))
+        for a, b in zip(lo[head].tolist(), hi[np.append(head[1:], len(hi)) - 1].tolist(), strict=True):
+            for s in range(a, b + 1, _STRETCH):
+                yield n, s, min(b, s + _STRETCH - 1)
 
 
 def _find(index: Index, own: np.ndarray, width: int, radius: int, least: float) -> list[tuple[int, int, int, float]]:
     """(item, first word, distance, similarity) of the best window for each item in a text."""
     best: dict[int, tuple[int, int, float]] = {}
     for k in np.unique(index.width).tolist():
-        if len(own) < k or (k < width and not (index.width == k).any()):
+        if len(own) < k:
             continue
         runs = shingles(own, k)
         maybe = np.flatnonzero(index.seen[(runs & U(_FILTER - 1)).astype(np.int64)])
+        ok, which = _known(index.common, runs[maybe])
+        maybe = maybe[ok]
         if not len(maybe):
             continue
-        lo, hi = (np.searchsorted(index.hashes, runs[maybe], side=s) for s in ("left", "right"))
-        many = hi - lo
-        if not many.sum():
-            continue
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
-        item, start = index.item[at], np.repeat(maybe, many) - index.place[at]
-        fit = index.width[item] == k
-        windows = np.unique(np.stack([index.sizes[item[fit]], np.clip(start[fit], 0, None)], axis=1), axis=0)
-        known = np.searchsorted(index.common, runs[maybe])
-        weight = np.full(len(runs), index.top)
-        ok = known < len(index.common)
-        ok[ok] = index.common[known[ok]] == runs[maybe][ok]
-        weight[maybe[ok]] = index.weight[known[ok]]
+        weight = np.full(len(runs), index.top, dtype=np.int32)
         if index.shared is not None:  # what items of other blocks share weighs less as well
-            known = np.searchsorted(index.shared, runs)
-            ok = known < len(index.shared)
-            ok[ok] = index.shared[known[ok]] == runs[ok]
-            weight[ok] = index.shared_weight[known[ok]]
-        for size, s in windows.tolist():
-            s = min(s, max(0, len(own) - size))
-            part, first = np.unique(runs[s : s + size - k + 1], return_index=True)
-            if not len(part):
-                continue
-            own_print = simhash(part, weight[s : s + size - k + 1][first])
-            near = {int(c) for m, cell in zip(index.masks, index.cells, strict=True) for c in cell.get(own_print & m, ())}
-            for c in near:
-                distance = (own_print ^ int(index.prints[c])).bit_count()
-                if distance > radius or index.width[c] != k:
-                    continue
-                theirs = index.shingles[c]
-                w = index.weight[np.searchsorted(index.common, theirs)]
-                similarity = float(w[np.isin(theirs, part, assume_unique=True)].sum() / w.sum())
+            ok, at = _known(index.shared, runs)
+            weight[ok] = index.shared_weight[at]
+        weight[maybe] = index.weight[which]
+        for n, lo, hi in _windows(index, maybe, which, k, width, len(runs)):
+            m = min(n - k + 1, len(runs))
+            prints = simhashes(runs[lo : hi + m], weight[lo : hi + m], m)
+            windows, items = within_radius(prints, index.cells, index.prints, radius)
+            fit = index.sizes[items] == n
+            for w, c in zip(windows[fit].tolist(), items[fit].tolist(), strict=True):
+                theirs, s = index.shingles[c], lo + w
+                mass = index.weight[np.searchsorted(index.common, theirs)]
+                similarity = float(mass[np.isin(theirs, runs[s : s + m])].sum() / mass.sum())
                 if similarity >= least and similarity > best.get(c, (0, 0, 0.0))[2]:
-                    best[c] = (s, distance, similarity)
+                    best[c] = (s, int(prints[w] ^ index.prints[c]).bit_count(), similarity)
     return [(c, *v) for c, v in best.items()]
 
 
@@ -169,7 +231,7 @@ def _counts(items: DataFrame, width: int) -> Counts:
                 h = np.unique(own).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(h), pa.nulls(1, pa.int64())])], ["h"])
 
-    df = items.select("t").mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    df = items.select("t").mapInArrow(worker.lean(run), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     got = df.filter("n > 1 OR h IS NULL").toArrow()
     null = got.column("h").is_null().to_numpy()
     h, n = got.column("h").fill_null(0).to_numpy()[~null].view(np.uint64), got.column("n").to_numpy()
@@ -190,7 +252,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, radius: int, width
             yield index
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", radius: int = 20, least: float = 0.8, width: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", radius: int = 17, least: float = 0.8, width: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
     """``(doc_id, item_id, first_word, n_words, distance, similarity)``: the best window for each
     item in each text that holds one.
 
@@ -198,7 +260,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     (an item of fewer words: all of them).  Weights fall with the number of items of the whole
     benchmark that have a shingle; with more than one block, each holds the hashes that several items share.  Null texts and items hold nothing, items with a null id are left out, items
     without words match nothing.  Rows are judged alone, so repeated rows give repeated hits
-    and no key can be hot.  Other columns are ignored.  The corpus is read once a block.
+    and no key can be hot.  Other columns are ignored.  A column of docs or benchmark that is named as
+    one of the result is of no consequence, and an empty table gives an empty result.  The corpus is
+    read once a block; a block's index leaves the driver's memory once its pass is planned.
+
+    A match is lost only if its print lies farther than the radius; the tests and the README
+    have the measured share.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
@@ -214,12 +281,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 rows = [(ids[row].as_py(), index.ids[c], s, int(index.sizes[c]), d, x) for row, found in each(batch) for c, s, d, x in found]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, types, strict=True)], names)
 
-        out = out.unionByName(base.mapInArrow(run, kind))
+        out = out.unionByName(base.mapInArrow(worker.lean(run), kind))
     return out
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", radius: int = 20, least: float = 0.8, width: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
-    """``docs`` without the rows that ``contaminated`` would name; columns pass through."""
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", radius: int = 17, least: float = 0.8, width: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+    """``docs`` without the rows that ``contaminated`` would name; columns pass through, and rows with
+    null texts or ids, repeated rows and empty tables are treated as there."""
     for index in _blocks(benchmark, item_col, item_text_col, radius, width, block_bytes):
         each = _hits(index, width, radius, least, docs.columns.index(text_col))
 
@@ -229,5 +297,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str =
                 keep[[row for row, _ in each(batch)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(worker.lean(run), docs.schema)
     return docs
