@@ -3,7 +3,8 @@
 A unit is a line, cut after runs of ``.``, ``!`` and ``?`` that a blank follows.  Its digest is taken from its
 normalised words.  Of the units with one digest the earliest (by id, then offset) is kept; the
 others are repeats.  Runs of neighbouring repeats with enough words in sum are removed, under
-their offsets in the original text, so a short phrase that happens to recur stays.
+their offsets in the original text, so a short phrase that happens to recur stays; a text all of whose
+units are repeats goes whole, however short.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import scratch
+from millrace.llm import scratch, worker
 from millrace.llm.text_arrays import PUNCT, U, mix, words
 
 _ENDS = re.compile(r"(?:[.!?]+[ \t]+)|\n")
@@ -58,54 +59,59 @@ def _digests(batch: pa.RecordBatch):
 
 
 def _unit_rows(batches):
-    names = ["digest", "doc_id", "ord", "words", "start", "end"]
-    for batch in (b.slice(lo, 1000) for b in batches for lo in range(0, max(b.num_rows, 1), 1000)):
-        ids, parts = batch.column(0).to_pylist(), []
+    names = ["digest", "doc_id", "text_hash", "of", "ord", "words", "start", "end"]
+    for batch in batches:
+        ids, marks, parts = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
         for row, begins, ends, digest, count in _digests(batch):
             if ids[row] is None:
                 continue
             keep = np.flatnonzero(count)
-            parts.append((digest[keep].view(np.int64), np.full(len(keep), ids[row], dtype=np.int64), np.arange(len(keep)), count[keep], begins[keep], ends[keep]))
-        columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(6)]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+            same = [np.full(len(keep), x, dtype=np.int64) for x in (ids[row], marks[row], len(keep))]
+            parts.append((digest[keep].view(np.int64), *same, np.arange(len(keep)), count[keep], begins[keep], ends[keep]))
+        columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(8)]
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25) -> DataFrame:
-    """``(doc_id, start, end, n_words, kept_doc_id, kept_start)`` (long): spans to remove, in code
+    """``(doc_id, start, end, n_words, kept_doc_id, kept_start, text_hash)`` (long): spans to remove, in code
     points of the original text, with the place of the earliest occurrence of their first unit.
 
     A span is a longest run of neighbouring units (those without words do not count) that all
-    occurred earlier, with at least min_words words in sum.  Null and empty texts have no
+    occurred earlier, with at least min_words words in sum, or that is all the text has.  Null and empty texts have no
     units, rows with a null id are left alone, rows that repeat an id and its text repeat nothing.
-    Other columns are ignored.
+    Different texts under one id are texts of their own, in the order of ``text_hash`` (xxhash64 of
+    the text), which tells whose span it is.  Other columns are ignored; an empty table has no spans.
 
     Plan: units without texts are grouped by digest with a minimum (combined before the shuffle),
     and digests that occur twice are joined back, in a join that Spark can split where one digest
     is hot; runs are found within one text.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    each = base.mapInArrow(_unit_rows, "digest long, doc_id long, ord int, words int, start int, end int")
-    place = F.struct("doc_id", "start")
+    each = base.withColumn("text_hash", F.xxhash64("text")).mapInArrow(worker.lean(_unit_rows), "digest long, doc_id long, text_hash long, of int, ord int, words int, start int, end int")
+    place = F.struct("doc_id", "text_hash", "start")
     first = each.groupBy("digest").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "least")
     first = scratch.table(first, "first")  # with a shuffle of its own, so that the join below can be split
-    later = each.join(first, "digest").filter((F.col("doc_id") != F.col("least.doc_id")) | (F.col("start") != F.col("least.start")))
-    run = F.expr("ord - dense_rank() over (partition by doc_id order by ord)")
-    own = later.select("doc_id", "ord", "words", "start", "end", "least").distinct().withColumn("run", run)
-    spans = own.groupBy("doc_id", "run").agg(
+    later = each.join(first, "digest").filter(place != F.col("least"))
+    run = F.expr("ord - dense_rank() over (partition by doc_id, text_hash order by ord)")
+    own = later.select("doc_id", "text_hash", "of", "ord", "words", "start", "end", "least").distinct().withColumn("run", run)
+    spans = own.groupBy("doc_id", "text_hash", "run").agg(
         F.min("start").cast("long").alias("start"),
         F.max("end").cast("long").alias("end"),
         F.sum("words").alias("n_words"),
         F.min_by("least", "ord").alias("least"),
+        (F.count(F.lit(1)) == F.max("of")).alias("whole"),
     )
-    return spans.filter(F.col("n_words") >= min_words).select("doc_id", "start", "end", "n_words", F.col("least.doc_id").alias("kept_doc_id"), F.col("least.start").cast("long").alias("kept_start"))
+    kept = [F.col("least.doc_id").alias("kept_doc_id"), F.col("least.start").cast("long").alias("kept_start")]
+    return spans.filter((F.col("n_words") >= min_words) | F.col("whole")).select("doc_id", "start", "end", "n_words", *kept, "text_hash")
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut from ``text_col``, and ``removed`` (array of start and end in
-    the original).  Rows without spans keep their text, null included; a column ``removed`` is replaced."""
-    by = spans.groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    out = docs.drop("removed").join(by, F.col(id_col) == F.col("__doc"), "left").drop("__doc")
+    the original).  Rows without spans keep their text, null included; rows that repeat an id and its
+    text are cut alike; a column ``removed`` is replaced."""
+    by = spans.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("removed"))
+    out = docs.drop("removed").join(by, (F.col(id_col) == F.col("__doc")) & (F.xxhash64(F.col(text_col)) == F.col("__hash")), "left").drop("__doc", "__hash")
     edge = F.concat(F.array(F.lit(0).cast("long")), F.transform("removed", lambda s: s["end"]))
     until = F.concat(F.transform("removed", lambda s: s["start"]), F.array(F.char_length(F.col(text_col)).cast("long")))
     kept = F.zip_with(edge, until, lambda a, b: F.substring(F.col(text_col), (a + 1).cast("int"), (b - a).cast("int")))
