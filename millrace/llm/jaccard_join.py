@@ -10,14 +10,15 @@
 3. Texts that remain send all their n-grams.  Rarest first, ``n - ceil(t * n) + 1`` of them
    must hold one that a linked text shares (prefix filtering; Chaudhuri et al., ICDE 2006;
    Bayardo et al., WWW 2007).  Components over that prefix incidence are the blocks of the product.
+   A component of more than ``most_tiles`` tiles, as chance may grow one in a large corpus, is
+   taken apart again: its blocks are the postings of the prefix, each the texts of one n-gram.
 4. A block is multiplied by its transpose in one task: postings add up overlap counts row by
-   row, pairs below the bound from their sizes are discarded, and pairs that are connected
-   already are not looked at.  A block of more than ``tile`` texts is split, and each pair of
-   its tiles is a task.
+   row, and pairs below the bound from their sizes are discarded.  A block of more than ``tile``
+   texts is split, and each pair of its tiles is a task.
 5. Links (a forest per task) are joined to components.
 
 The number of tile pairs of one block grows with the square of its *different* texts over
-``tile``; copies never count.
+``tile``; copies never count, and most components are small.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import scratch
+from millrace.llm import scratch, worker
 from millrace.llm.graph import connected_components
 from millrace.llm.text_arrays import WHITE, U, mix, shingles, words
 
@@ -53,10 +54,6 @@ def _signed(x: list[int]) -> pa.Array:
     return pa.array(np.array(x, dtype=np.uint64).view(np.int64))
 
 
-def _bound(num: int, den: int):
-    return lambda n: -(-num * n // den)
-
-
 def _sizes(width: int):
     def run(batches):
         for batch in batches:
@@ -101,8 +98,9 @@ def _entries(width: int, buckets: int):
         p = (mix(h) % U(buckets)).astype(np.int32)
         order = np.argsort(p, kind="stable")
         h, cls, shared, p = h[order], cls[order], shared[order], p[order]
-        cuts = np.searchsorted(p, np.arange(buckets + 1))
-        rows = [(b, h[x:y].tobytes(), cls[x:y].tobytes(), shared[x:y].tobytes(), b"", b"") for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+        kinds, first = np.unique(p, return_index=True)
+        cuts = [*first.tolist(), len(p)]
+        rows = [(b, h[x:y].tobytes(), cls[x:y].tobytes(), shared[x:y].tobytes(), b"", b"") for b, x, y in zip(kinds.tolist(), cuts[:-1], cuts[1:], strict=True)]
         if len(done):
             rows.append(((number * 7919 + int(done[0] % U(buckets))) % buckets, b"", b"", b"", done.tobytes(), count.astype(np.int64).tobytes()))
         if rows:
@@ -187,14 +185,7 @@ def block_links(ids: list[int], sides: list[int], sets: list[np.ndarray], num: i
     rows = np.empty(len(flat), dtype=np.int64)
     rows[by] = term
     edges = np.concatenate([[0], np.cumsum(size)])
-    parent = np.arange(len(sets))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+    tree = np.arange(len(sets))  # the tree of the forest that each text is in
     links = []
     for i in range(1, len(sets)):
         own = rows[edges[i] : edges[i + 1]]
@@ -214,18 +205,16 @@ def block_links(ids: list[int], sides: list[int], sets: list[np.ndarray], num: i
         fit = np.flatnonzero(den * count >= num * (size[i] + size[lo:i] - count)) + lo
         if cross:
             fit = fit[sides[fit] != sides[i]]
-        a = root(i)
-        for j in fit.tolist():
-            b = root(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                a = min(a, b)
+        other, at = np.unique(tree[fit], return_index=True)
+        for b, j in zip(other.tolist(), fit[at].tolist(), strict=True):
+            if b != tree[i]:
+                tree[tree == b] = tree[i]
                 links.append((ids[i], ids[j]))
     return links
 
 
 def _products(num: int, den: int):
-    """Rows come sorted by (block, a, b): each run of equal keys is one product."""
+    """Rows come sorted by (component, n-gram or 0, a, b): each run of equal keys is one product."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches):
@@ -233,68 +222,86 @@ def _products(num: int, den: int):
 
         def close():
             if len(ids) > 1:
-                links = block_links(ids, sides, sets, num, den, key[1] != key[2])
+                links = block_links(ids, sides, sets, num, den, key[2] != key[3])
                 if links:
                     yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=schema)
 
         for batch in batches:
-            own = batch.column(5)
+            own = batch.column(6)
             values, offsets = own.values.to_numpy(zero_copy_only=False).view(np.uint64), own.offsets.to_numpy()
-            for i, row in enumerate(zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True)):
-                if row[:3] != key:
+            for i, row in enumerate(zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True)):
+                if row[:4] != key:
                     yield from close()
-                    key, ids, sides, sets = row[:3], [], [], []
-                ids.append(row[3])
-                sides.append(row[4])
+                    key, ids, sides, sets = row[:4], [], [], []
+                ids.append(row[4])
+                sides.append(row[5])
                 sets.append(values[offsets[i] : offsets[i + 1]].copy())
         yield from close()
 
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100, tile: int = 4096) -> DataFrame:
-    """``(doc_id, n_shingles, class_id, component_id)`` (long), a row for each row of ``docs``.
-
-    Two texts link when ``den * |A & B| >= num * |A | B|`` over their sets of ``width``-word
-    n-grams (a shorter text: all its words as one; none: the empty set, linked with nothing).
-    ``class_id`` is the smallest id with an equal set, ``component_id`` the smallest that links
-    reach, itself included.  Ids are integers.  Rows that share an id count as one document;
-    a row with a null id is linked with nothing (both ids null).  Null and blank texts have
-    n_shingles 0.  Other columns are ignored.
-    """
-    need = _bound(num, den)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sized = scratch.table(base.mapInArrow(_sizes(width), "doc_id long, n long, sub long, k1 long, k2 long"), "sizes")
+def _components(base: DataFrame, sized: DataFrame, width: int, num: int, den: int, tile: int, most_tiles: int) -> DataFrame:
+    """``(k1, k2, class_id, component_id)`` of each class of texts with equal sets."""
     keys = ["k1", "k2"]
     classes = sized.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sub").alias("sub"))
     total = sized.agg(F.sum("sub")).first()[0] or 0
     buckets = max(12, math.ceil(total / 400_000))
-    cells = base.mapInArrow(_entries(width, buckets), "p int, h binary, cls binary, flag binary, done binary, count binary")
+    cells = base.mapInArrow(worker.lean(_entries(width, buckets)), "p int, h binary, cls binary, flag binary, done binary, count binary")
     shared = cells.groupBy("p").applyInArrow(_shared(buckets), "q int, cls binary, cnt binary").groupBy("q").applyInArrow(_summed, "cls long, cnt long")
     slack = F.expr(f"n - ceil({num} * n / {den})")
     alive = classes.join(shared, classes.k1 == shared.cls, "left").filter(F.col("sub") - F.coalesce("cnt", F.lit(0)) <= slack)
     alive = scratch.table(alive.select("rep"), "alive").distinct()
-    full = base.join(alive, base.doc_id == alive.rep, "left_semi").mapInArrow(_full(width), "node long, hs array<long>, k1 long, k2 long")
+    full = base.join(alive, base.doc_id == alive.rep, "left_semi").mapInArrow(worker.lean(_full(width)), "node long, hs array<long>, k1 long, k2 long")
     full = scratch.table(full.dropDuplicates(["node", *keys]).filter(F.size("hs") > 0), "sets")
     cells = full.select("node", "k1", F.size("hs").alias("n"), F.explode("hs").alias("h"))
     common = cells.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    common = scratch.table(common, "common")
     held = cells.join(common, "h").groupBy("node", "k1", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("s"))
     spare = F.expr(f"cast(n - ceil({num} * n / {den}) + 1 - (n - size(s)) as int)")  # of the prefix, what is left for shared n-grams
     prefix = held.withColumn("spare", spare).filter("spare > 0").select("node", F.explode(F.expr("slice(s, 1, spare)")).alias("x")).select("node", F.col("x.h").alias("h"))
     prefix = scratch.table(prefix, "prefix")
-    lowest = prefix.groupBy("h").agg(F.min("node").alias("m"))
+    lowest = scratch.table(prefix.groupBy("h").agg(F.min("node").alias("m"), F.count(F.lit(1)).alias("df")).filter("df > 1"), "lowest")
     near = prefix.join(lowest, "h").filter("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v"))
     blocks = scratch.table(connected_components(near), "blocks")
     heft = F.greatest(F.count(F.lit(1)) / tile, F.sum("n") / (tile * 1000))  # texts, and n-grams: long texts fill a tile sooner
-    weighed = blocks.join(full.select("node", F.size("hs").alias("n")), "node")
-    tiles = weighed.groupBy("component").agg(F.ceil(heft).cast("int").alias("tiles"))
-    placed = blocks.join(tiles, "component").withColumn("t", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    sizes = full.select("node", F.size("hs").alias("n"))
+    members = blocks.select("node", "component", F.lit(0).alias("h"))
+    tiles = members.join(sizes, "node").groupBy("component", "h").agg(F.ceil(heft).cast("int").alias("tiles"))
+    tiles = scratch.table(tiles, "tiles")
+    wide = tiles.filter(F.col("tiles") > most_tiles).select("component")
+    postings = prefix.join(blocks.join(wide, "component", "left_semi"), "node").join(lowest.select("h"), "h", "left_semi").select("node", "component", "h")
+    postings = scratch.table(postings, "postings")
+    split = scratch.table(postings.join(sizes, "node").groupBy("component", "h").agg(F.ceil(heft).cast("int").alias("tiles")), "split")
+    whole = members.join(tiles.filter(F.col("tiles") <= most_tiles), ["component", "h"])
+    parts = postings.join(split, ["component", "h"])
+    placed = whole.unionByName(parts).withColumn("t", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     pairs = F.when(F.col("tiles") == 1, F.array(F.lit(0))).otherwise(F.expr("sequence(0, tiles - 1)"))
-    placed = placed.select("component", "node", "t", F.explode(pairs).alias("o")).select("component", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "node", F.when(F.col("t") <= F.col("o"), 0).otherwise(1).alias("side"))
-    dealt = placed.join(full.select("node", "hs"), "node").select("component", "a", "b", "node", "side", "hs").repartition("component", "a", "b").sortWithinPartitions("component", "a", "b", "node")
-    links = dealt.mapInArrow(_products(num, den), "u long, v long")
+    placed = placed.select("component", "h", "node", "t", F.explode(pairs).alias("o")).select("component", "h", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "node", F.when(F.col("t") <= F.col("o"), 0).otherwise(1).alias("side"))
+    dealt = placed.join(full.select("node", "hs"), "node").select("component", "h", "a", "b", "node", "side", "hs").repartition("component", "h", "a", "b").sortWithinPartitions("component", "h", "a", "b", "node")
+    links = dealt.mapInArrow(worker.lean(_products(num, den)), "u long, v long")
     found = connected_components(links)
-    named = classes.join(found, classes.rep == found.node, "left").select(*keys, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
+    return classes.join(found, classes.rep == found.node, "left").select(*keys, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100, tile: int = 1024, most_tiles: int = 32) -> DataFrame:
+    """``(doc_id, n_shingles, class_id, component_id)`` (long), a row for each row of ``docs``.
+
+    Two texts link when ``den * |A & B| >= num * |A | B|`` over their sets of ``width``-word
+    n-grams (a shorter text: all its words as one; none: the empty set, linked with nothing).
+    ``class_id`` is the smallest id with an equal set, ``component_id`` the smallest that links
+    reach, itself included.  Ids are integers.  Rows that share an id count as one document;
+    a row with a null id is linked with nothing (both ids null).  Null and blank texts have
+    n_shingles 0.  Other columns are ignored; an empty table gives an empty result.
+
+    What joins on an n-gram or on the key of a class is written first, so that both sides have a
+    shuffle of their own and Spark can split a hot key.
+    """
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    sized = scratch.table(base.mapInArrow(worker.lean(_sizes(width)), "doc_id long, n long, sub long, k1 long, k2 long"), "sizes")
+    keys = ["k1", "k2"]
+    with scratch.temporary(docs.sparkSession) as keep:
+        named = keep(_components(base, sized, width, num, den, tile, most_tiles), "named")
     out = sized.join(named, keys, "left")
     known = F.col("doc_id").isNotNull()
     return out.select(
