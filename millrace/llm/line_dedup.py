@@ -11,11 +11,14 @@ _BLANK = " \t\n\v\f\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def lower_ascii(x: Column) -> Column:
+    """A-Z lower-cased and nothing else."""
+    return F.when(F.octet_length(x) == F.char_length(x), F.lower(x)).otherwise(F.translate(x, _UPPER, _UPPER.lower()))
+
+
 def line_key(line: Column) -> Column:
     """The line without ASCII white space at its ends, A-Z lower-cased and nothing else."""
-    bare = F.btrim(line, F.lit(_BLANK))
-    plain = F.octet_length(bare) == F.char_length(bare)
-    return F.when(plain, F.lower(bare)).otherwise(F.translate(bare, _UPPER, _UPPER.lower()))
+    return lower_ascii(F.btrim(line, F.lit(_BLANK)))
 
 
 def line_digest(line: Column, min_chars: int) -> Column:
@@ -33,26 +36,32 @@ def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     a line common.  An empty table gives an empty result.  Other columns pass through; one
     named ``n_lines`` or ``n_dropped`` is replaced.
 
-    Plan: explode digests (no text is shuffled), distinct per document, count per digest
-    with a map-side sum, and keep the common ones; the digests that each document must lose
-    come back in one array, which is joined to the texts on the id.  A line that stands in a
-    third of all documents is one row per document in a join that Spark can split.
+    Plan: explode digests with their positions (no text is shuffled), count distinct documents per
+    digest with a map-side sum, and keep the common ones; the positions that each text must lose
+    come back in one array, joined on the id and a hash of the text, so rows of one id (or none) with
+    different texts do not meet.  Both joins have a shuffle on each side, which Spark can split: that of
+    a line that stands in a third of all documents, and that of a row repeated so often.
     """
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
-    digests = F.array_distinct(F.array_compact(F.transform(lines, lambda x: line_digest(x, min_chars))))
-    each = docs.select(F.col(id_col).alias("__doc"), F.explode(digests).alias("__key"))
-    each = scratch.table(each.select("__doc", F.col("__key.a").alias("__a"), F.col("__key.b").alias("__b")).distinct(), "lines")
-    common = each.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_docs).select("__a", "__b")
-    common = scratch.table(common, "common")  # with a shuffle of its own, so that a hot line can be split
-    lost = each.join(common, ["__a", "__b"], "left_semi").groupBy("__doc").agg(F.collect_list(F.struct(F.col("__a").alias("a"), F.col("__b").alias("b"))).alias("__lost"))
-    kept = docs.drop("n_lines", "n_dropped").join(lost, F.col(id_col).eqNullSafe(F.col("__doc")), "left").drop("__doc")
-    kept = kept.withColumn("__lines", lines)
-    stay = F.filter("__lines", lambda x: ~F.coalesce(F.array_contains(F.col("__lost"), line_digest(x, min_chars)), F.lit(False)))
-    kept = kept.withColumn("__stay", F.when(F.col("__lost").isNull(), F.col("__lines")).otherwise(stay))
+    mark = F.xxhash64(F.col(text_col))
+    keys = F.posexplode(F.transform(lines, lambda x: line_digest(x, min_chars)))
+    each = docs.select(F.col(id_col).alias("doc"), mark.alias("mark"), keys.alias("pos", "key")).filter("key IS NOT NULL")
+    kept = docs.drop("n_lines", "n_dropped")
+    doc, own, lost, split, stay = (scratch.unused(x, kept) for x in ("doc", "mark", "lost", "lines", "stay"))
+    with scratch.temporary(docs.sparkSession) as keep:
+        each = scratch.table(each.select("doc", "mark", "pos", "key.a", "key.b"), "lines")
+        common = each.select("doc", "a", "b").distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("a", "b")
+        common = scratch.table(common, "common")
+        gone = each.join(common, ["a", "b"], "left_semi").groupBy("doc", "mark").agg(F.collect_set("pos").alias("lost"))
+        gone = keep(gone.toDF(doc, own, lost), "lost")
+    kept = kept.join(gone, F.col(id_col).eqNullSafe(F.col(doc)) & (mark == F.col(own)), "left").withColumn(split, lines)
+    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.coalesce(lost, F.array().cast("array<int>")))
+    kept = kept.withColumn(stay, places)
+    text = F.array_join(F.transform(stay, lambda k: F.get(split, k)), "\n")
     return kept.withColumns(
         {
-            text_col: F.array_join("__stay", "\n"),
-            "n_lines": F.size("__lines").cast("long"),
-            "n_dropped": (F.size("__lines") - F.size("__stay")).cast("long"),
+            text_col: F.when(F.col(lost).isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(text),
+            "n_lines": F.size(split).cast("long"),
+            "n_dropped": (F.size(split) - F.size(stay)).cast("long"),
         }
-    ).drop("__lines", "__lost", "__stay")
+    ).drop(doc, own, lost, split, stay)
