@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import scratch
+from millrace.llm.license_signatures import BODIES
+from millrace.llm.line_dedup import lower_ascii
+
+#: Words that a match may have at most, and words whose detections are settled together.
+SPAN = 64
+OWN = 128
+
 
 class Rule(NamedTuple):
     label: str
@@ -65,19 +74,6 @@ VERSIONS = {
     "eupl": ["1.1", "1.2"],
 }
 
-#: Sentences of licence texts and notices, with the gate of each.
-SENTENCES = [
-    ("mit", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("bsd", "source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("isc", "permission to use", "permission to use copy modify and or distribute this software for any purpose"),
-    ("gpl", "free software", "this program is free software you can redistribute it and or modify it"),
-    ("unlicense", "unencumbered software", "this is free and unencumbered software released into the public domain"),
-    ("zlib", "this software is provided", "this software is provided as is without any express or implied warranty"),
-    ("public-domain", "public domain", "(?:placed|released|dedicated) (?:in|into|to) the public domain"),
-    ("proprietary", "all rights reserved", "all rights reserved"),
-    ("proprietary", "proprietary", "proprietary and confidential"),
-]
-
 _VERBS = "(?:licensed|released|distributed|published|available|provided|covered)"
 _UNDER = f"{_VERBS} under (?:the )?(?:terms of (?:the )?)?"
 
@@ -89,7 +85,8 @@ def _version(v: str) -> str:
 
 
 def rules() -> list[Rule]:
-    """Every signature, in order: for each licence its names, notices, identifiers and versions."""
+    """Every signature, in order: for each licence its names, notices, identifiers and versions, then those written
+    by hand.  The longer of these are texts of licences, the others names of rarer ones."""
     out = []
     for label, names in NAMES.items():
         for name in names:
@@ -102,35 +99,48 @@ def rules() -> list[Rule]:
         out.append(Rule(label, 4, "spdx license identifier", f"spdx license identifier {tag}"))
         for v in VERSIONS.get(label, []):
             out.append(Rule(f"{label}-{v}", 5, "spdx license identifier", f"spdx license identifier {tag} {v.replace('.', ' ')}(?: (?:only|or later))?"))
-    return out + [Rule(label, 5, key, text) for label, key, text in SENTENCES]
+    return out + [Rule(label, 5 if text.count(" ") >= 5 else 3, key, text) for label, key, text in BODIES]
+
+
+#: Words that most texts have, which gate nothing if a keyword has another.
+_COMMON = set("a all an and any are as at be by do for from in is it me my no not of on only or that the this to under use we what with you".split())
+
+
+def gate_words(keywords: list[str]) -> dict[str, str]:
+    """For each keyword one of its words, so that few words gate all."""
+    words = {k: [w for w in k.split() if len(w) > 1 and w not in _COMMON] or k.split() for k in keywords}
+    out: dict[str, str] = {}
+    while len(out) < len(words):
+        count = Counter(w for k, own in words.items() if k not in out for w in set(own))
+        best = max(count, key=lambda w: (count[w], w))
+        out |= {k: best for k, own in words.items() if k not in out and best in own}
+    return out
 
 
 def normalised_words(text: Column) -> Column:
-    """The words, lower-cased, each after a space, and a last space; one space if there are none."""
-    return F.concat(F.lit(" "), F.ltrim(F.regexp_replace(F.concat(F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")))
+    """The words, A-Z lower-cased, with one space between."""
+    return F.btrim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
-def _spaces(x: Column) -> Column:
-    return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
+def _let(value: Column, f) -> Column:
+    """f of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _places(words: Column, pattern: Column) -> Column:
-    """(start, end) in words of each place of a pattern; both segments and matches keep their order."""
-    whole = F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )"))
-    found = F.regexp_extract_all(words, whole, F.lit(0))
-    before = F.transform(F.slice(F.split(words, whole, -1), 1, F.size(found)), lambda x: _spaces(x) - 1)
-    both = F.arrays_zip(before.alias("b"), F.transform(found, lambda x: _spaces(x) + 1).alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+def over_places(pattern: str) -> str:
+    """The pattern over words that carry their place (``word U+0001 place``): all its starts, as group 1."""
+    return "(?<= )(?=((?:" + pattern.replace(" ", r"(?:\x01\d+ )") + r")\x01\d+) )"
 
-    def step(acc: Column, x: Column) -> Column:
-        first = acc["at"] + x["0"]
-        return F.struct(
-            (first + x["1"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(first.alias("start"), (first + x["1"]).alias("end")))).alias("out"),
-        )
 
-    zipped = F.transform(both, lambda x: F.struct(x["b"].alias("0"), x["m"].alias("1")))
-    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+def _places(marked: Column, pattern: Column) -> Column:
+    """(start, end) in words, of each place where a match of the pattern starts."""
+    start = lambda m: F.regexp_extract(m, r"\x01(\d+)", 1).cast("int")
+    end = lambda m: F.substring_index(m, "\x01", -1).cast("int") + 1
+    return F.transform(F.regexp_extract_all(marked, pattern, F.lit(1)), lambda m: F.struct(start(m).alias("start"), end(m).alias("end")))
+
+
+_FOUND = "array<struct<start:int,end:int,label:string,priority:int,base:boolean,rank:int>>"
+_KEPT = "array<struct<start:int,end:int,label:string,priority:int,base:boolean>>"
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", base: dict[str, str] | None = None, table: list[Rule] | None = None) -> DataFrame:
@@ -138,40 +148,57 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", base: dict[str, str]
     ``struct<start,end,label,priority,base>`` in order of place.
 
     Words are runs of characters other than ASCII marks, blanks and controls; starts and ends
-    count words from 0, ends excluded.  ``base`` (phrase to label) are rules that nothing
-    suppresses.  Of the others, a detection goes if one of higher priority (or of the same and
-    longer, or of the same length and named first) covers its whole interval.  A null text has
+    count words from 0, ends excluded.  A rule is tried at every word.  ``base`` (phrase to label) are rules
+    that nothing suppresses and that suppress nothing.  Of the others, a detection goes if one of higher priority (or of the same and
+    longer, or of the same length and named first) covers its whole interval.  A null or empty text has
     no words.  Rows do not touch each other, so repeated rows, empty tables and skew need no care;
     other columns pass through, and ``n_words`` or ``detections`` among them are replaced.
 
-    Plan: one pass, no shuffle, no Python.  One gate over all keywords lets most texts
-    skip the rules; behind it, each rule has its own keyword.
+    Plan: one pass, no shuffle, no Python.  A look-up of the text's words among the gate words lets most
+    texts skip the rules.  Others are taken in segments of ``OWN`` words, with ``SPAN`` words (no match has
+    more) at both ends; what starts in a segment is settled there, so time is linear in the length of
+    a text.  Words carry their places, so a match tells where it is.  Behind the gate, each rule has its own keyword.
     """
     table = rules() if table is None else table
     base = base or {}
-    own = [Rule(label, 9, phrase, phrase) for phrase, label in base.items()]
-    ranked = [(r, False) for r in table] + [(r, True) for r in own]
-    rows = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(f" {r.keyword} ").alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(b).alias("base")) for i, (r, b) in enumerate(ranked)])
-    keywords = {f" {r.keyword} " for r, _ in ranked}
-    keywords = sorted(k for k in keywords if not any(o != k and o in k for o in keywords))  # of nested ones the shorter will do
-    words = F.col("__words")
-
-    def of(rule: Column) -> Column:
-        place = lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), rule["label"].alias("label"), rule["priority"].alias("priority"), rule["base"].alias("base"), rule["rank"].alias("rank"))
-        return F.transform(_places(words, rule["pattern"]), place)
+    ranked = [(r, False) for r in table] + [(Rule(label, 1, phrase, phrase), True) for phrase, label in base.items()]
+    gates = gate_words(sorted({r.keyword for r, _ in ranked}))
+    rows = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(gates[r.keyword]).alias("gate"), F.lit(f" {r.keyword} ").alias("keyword"), F.lit(over_places(r.pattern)).alias("pattern"), F.lit(b).alias("base")) for i, (r, b) in enumerate(ranked)])
+    gate = F.array(*[F.lit(w) for w in sorted(set(gates.values()))])
 
-    live = F.filter(rows, lambda r: F.contains(words, r["keyword"]))
-    all_found = F.flatten(F.transform(live, of))
-    kind = "array<struct<start:int,end:int,label:string,priority:int,base:boolean,rank:int>>"
-    out = docs.drop("n_words", "detections").withColumn("__words", normalised_words(F.col(text_col)))
-    out = out.withColumn("n_words", F.when(words == " ", F.lit(0)).otherwise(_spaces(words) - 1).cast("long"))
-    out = out.withColumn("__found", F.when(reduce(lambda x, y: x | y, [F.contains(words, F.lit(k)) for k in keywords], F.lit(False)), all_found).otherwise(F.array().cast(kind)))
+    out = docs.drop("n_words", "detections")
+    words, passed = scratch.unused("words", out), scratch.unused("passed", out)
 
-    def stays(d: Column) -> Column:
+    def of(rule: Column, marked: Column) -> Column:
+        place = lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), rule["label"].alias("label"), rule["priority"].alias("priority"), rule["base"].alias("base"), rule["rank"].alias("rank"))
+        return F.transform(_places(marked, rule["pattern"]), place)
+
+    def stays(d: Column, found: Column) -> Column:
         covers = lambda o: reduce(lambda x, y: x & y, (~o["base"], o["start"] <= d["start"], o["end"] >= d["end"]))
         size = lambda x: x["end"] - x["start"]
         better = lambda o: (o["priority"] > d["priority"]) | ((o["priority"] == d["priority"]) & ((size(o) > size(d)) | ((size(o) == size(d)) & (o["rank"] < d["rank"]))))
-        return d["base"] | ~F.exists(F.col("__found"), lambda o: covers(o) & better(o))
-
-    kept = F.array_sort(F.transform(F.filter("__found", stays), lambda d: F.struct(d["start"].alias("start"), d["end"].alias("end"), d["label"].alias("label"), d["priority"].alias("priority"), d["base"].alias("base"))))
-    return out.withColumn("detections", F.when(F.size("__found") == 0, F.array().cast("array<struct<start:int,end:int,label:string,priority:int,base:boolean>>")).otherwise(kept)).drop("__words", "__found")
+        return d["base"] | ~F.exists(found, lambda o: covers(o) & better(o))
+
+    def segment(k: Column) -> Column:
+        first = F.greatest(k * OWN - SPAN, F.lit(0))
+        own = F.slice(words, first + 1, OWN + 2 * SPAN)
+
+        def search(part: Column) -> Column:
+            plain = F.concat(F.lit(" "), F.array_join(part, " "), F.lit(" "))
+            marked = F.concat(F.lit(" "), F.array_join(F.transform(part, lambda w, i: F.concat(w, F.lit("\x01"), (i + first).cast("string"))), " "), F.lit(" "))
+            there = F.array_intersect(gate, part)
+            live = lambda text, open_: F.filter(rows, lambda r: F.array_contains(open_, r["gate"]) & F.contains(text, r["keyword"]))
+            found = lambda text, places, open_: F.flatten(F.transform(live(text, open_), lambda r: of(r, places)))
+            kept = lambda f: F.filter(f, lambda d: (d["start"] >= k * OWN) & (d["start"] < (k + 1) * OWN) & stays(d, f))
+            none = F.array().cast(_FOUND)
+            both = lambda open_: F.when(F.size(open_) == 0, none).otherwise(_let(plain, lambda text: _let(marked, lambda places: _let(found(text, places, open_), kept))))
+            return _let(there, both)
+
+        return _let(own, search)
+
+    out = out.withColumn(words, normalised_words(F.col(text_col)))
+    out = out.withColumn(words, F.when(F.col(words) == "", F.array().cast("array<string>")).otherwise(F.split(words, " ")))
+    out = out.withColumn("n_words", F.size(words).cast("long")).withColumn(passed, F.arrays_overlap(words, gate))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.col("n_words") - 1) / OWN).cast("int")), segment)
+    order = lambda found: F.array_sort(F.transform(F.flatten(found), lambda d: F.struct(*[d[c].alias(c) for c in ("start", "end", "label", "priority", "base")])))
+    return out.withColumn("detections", F.when(F.col(passed), order(parts)).otherwise(F.array().cast(_KEPT))).drop(words, passed)
