@@ -2,9 +2,9 @@
 
 Text: hashed word models, with a bound on what a long text may say.  Declared
 markup (``<html lang>``) and address (a path segment or a country suffix): channels whose
-confusions are counted against the text's opinion.  Host: expected shares of the languages on
-the host, smoothed towards its domain, that towards its suffix, that towards the corpus (Dirichlet
-smoothing level by level), all from grouped sums.
+confusions are counted against the text's opinion.  Host: expected shares of the languages among
+the *other* rows of the host, smoothed towards its domain, that towards its suffix, that towards the corpus
+(Dirichlet smoothing level by level), all from grouped sums less the row's own share.
 """
 
 from __future__ import annotations
@@ -16,16 +16,36 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import scratch
+from millrace.llm import scratch, worker
 from millrace.llm.text_arrays import PUNCT, U, words
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|head)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+_MARK = re.compile(r"<(?:(!--)|(script|style|head)\b)?", re.I)
+_CLOSED = {"!--": re.compile("-->")} | {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "head")}
+_TAG = re.compile(">")
 _ENTITY = re.compile(r"&#?\w+;")
 
 
 def visible_text(html: str) -> str:
-    """The text between tags, without scripts, styles, heads and comments."""
-    return _ENTITY.sub(" ", _HIDDEN.sub(" ", html))
+    """The text between tags, without scripts, styles, heads and comments, each piece apart.
+
+    One of these that is not closed counts as a tag; a ``<`` without any later ``>`` is text.  Once a closing
+    mark is not found it is not looked for again, so the time is linear.
+    """
+    out, at, open_ended = [], 0, set()
+    for m in iter(lambda: _MARK.search(html, at), None):
+        name = (m[1] or m[2] or "").lower()
+        end = None
+        if name and name not in open_ended:
+            end = _CLOSED[name].search(html, m.end())
+            if not end:
+                open_ended.add(name)
+        end = end or _TAG.search(html, m.end())
+        if not end:
+            break
+        out.append(html[at : m.start()])
+        at = end.end()
+    out.append(html[at:])
+    return _ENTITY.sub(" ", " ".join(out))
 
 
 def _features(column: pa.Array, buckets: int):
@@ -47,7 +67,7 @@ def train(sample: DataFrame, languages: list[str], buckets: int = 1 << 15, smoot
                 total[languages.index(langs[row])] += np.bincount(f, minlength=buckets)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(languages)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.int64()))], ["l", "counts"])
 
-    rows = sample.filter(F.col("lang").isin(languages)).select("text", "lang").mapInArrow(run, "l int, counts array<long>")
+    rows = sample.filter(F.col("lang").isin(languages)).select("text", "lang").mapInArrow(worker.lean(run), "l int, counts array<long>")
     sums = rows.select("l", F.posexplode("counts").alias("b", "n")).filter("n > 0").groupBy("l", "b").agg(F.sum("n").alias("n"))
     counts = np.zeros((len(languages), buckets))
     for r in sums.collect():
@@ -84,16 +104,18 @@ def identify(rows: DataFrame, model: np.ndarray, languages: list[str], html: boo
     ``declared`` and ``address`` are language codes or null (unknown codes count as null), host is
     a name or null.  A row with no evidence at all gets its prior's first language.  Null and
     empty texts say nothing.  Rows that repeat an id are judged alike, each by itself; they do
-    count twice in their host's prior.  Other columns are ignored.
+    count for one another in their host's prior.  Of languages that are equally likely the first is
+    named.  Other columns are ignored; an empty table gives an empty result.
 
     Plan: one pass over the texts leaves numbers; confusions are two small tables on the
     driver (languages squared); priors come from sums by host, domain and suffix, combined before
-    their shuffle and joined back as tables without texts.
+    their shuffle.  The sums are written before they are joined back, so that a host (or a domain among
+    hosts) that holds a third of the rows can be split.
     """
     n = len(languages)
     known = lambda c: F.when(F.lower(c).isin(languages), F.lower(c))
     base = rows.select("id", F.col("text").cast("string").alias("text"), known(F.col("declared")).alias("declared"), known(F.col("address")).alias("address"), F.coalesce("host", F.lit("")).alias("host"))
-    seen = scratch.table(base.mapInArrow(_text_evidence(model, html, bound), "id long, declared string, address string, host string, evidence array<double>"), "evidence")
+    seen = scratch.table(base.mapInArrow(worker.lean(_text_evidence(model, html, bound)), "id long, declared string, address string, host string, evidence array<double>"), "evidence")
     seen = seen.withColumn("p", _softmax(F.col("evidence")))
     mass = [F.sum(F.col("p")[k]).alias(f"m{k}") for k in range(n)]
 
@@ -111,23 +133,29 @@ def identify(rows: DataFrame, model: np.ndarray, languages: list[str], html: boo
     parts = F.split("host", r"\.")
     suffix = F.element_at(parts, -1)
     domain = F.when(F.size(parts) > 1, F.concat_ws(".", F.element_at(F.slice(parts, F.size(parts) - 1, 1), 1), suffix)).otherwise(F.col("host"))
-    hosts = seen.groupBy("host").agg(*mass).withColumn("domain", domain).withColumn("suffix", suffix)
-
-    def level(key: str, above: DataFrame | list[float], up: str | None) -> DataFrame:
-        """Smoothed shares by key: (counts + strength * the shares above) over their sum."""
-        sums = hosts.groupBy(key, *([up] if up else [])).agg(*[F.sum(f"m{k}").alias(f"m{k}") for k in range(n)])
-        shares = [F.lit(v) for v in above] if isinstance(above, list) else [F.col(f"q{k}") for k in range(n)]
-        joined = sums if isinstance(above, list) else sums.join(above, up)
-        total = sum((F.col(f"m{k}") for k in range(n)), F.lit(strength))
-        return joined.select(key, *[((F.col(f"m{k}") + strength * shares[k]) / total).alias(f"r{k}") for k in range(n)]).withColumnsRenamed({f"r{k}": f"q{k}" for k in range(n)})
-
-    whole = [v or 0.0 for v in hosts.agg(*[F.sum(f"m{k}") for k in range(n)]).first()]
-    shares = [(v + 1.0) / (sum(whole) + n) for v in whole]
-    priors = level("host", level("domain", level("suffix", shares, None), "suffix"), "domain")
-    prior = F.array(*[F.log(F.col(f"q{k}")) for k in range(n)])
-    joined = seen.join(priors, "host", "left")
-    score = F.zip_with(F.zip_with("evidence", both[0], lambda a, b: a + b), F.zip_with(both[1], prior, lambda a, b: a + b), lambda a, b: a + b)
-    out = joined.withColumn("post", _softmax(score))
+    sums = F.array(*mass)
+    hosts = scratch.table(seen.groupBy("host").agg(sums.alias("host_sums")).withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
+    total = lambda: F.array(*[F.sum(F.col("host_sums")[k]) for k in range(n)])
+    domains = scratch.table(hosts.groupBy("domain").agg(total().alias("domain_sums")), "domains")
+    suffixes = scratch.table(hosts.groupBy("suffix").agg(total().alias("suffix_sums")), "suffixes")
+    levels = scratch.table(hosts.join(domains, "domain").join(suffixes, "suffix").select("host", "host_sums", "domain_sums", "suffix_sums"), "levels")
+    whole = [v or 0.0 for v in (hosts.agg(*[F.sum(F.col("host_sums")[k]) for k in range(n)]).first() or [])]
+
+    def others(sums: Column) -> Column:
+        return F.zip_with(sums, "p", lambda a, b: F.greatest(a - b, F.lit(0.0)))
+
+    def smoothed(sums: Column, above: Column, by: float) -> Column:
+        """(counts + by * the shares above) over their sum."""
+        summed = F.aggregate(sums, F.lit(by), lambda a, b: a + b)
+        return F.zip_with(sums, above, lambda a, b: (a + by * b) / summed)
+
+    out = seen.join(levels, "host")
+    out = out.withColumn("prior", smoothed(others(F.array(*[F.lit(v) for v in whole])), F.array(*[F.lit(1.0 / n)] * n), float(n)))
+    for level in ("suffix_sums", "domain_sums", "host_sums"):
+        out = out.withColumn("own", others(F.col(level))).withColumn("prior", smoothed(F.col("own"), F.col("prior"), strength))
+    add = lambda x, y: F.zip_with(x, y, lambda a, b: a + b)
+    out = out.withColumn("score", add(add(F.col("evidence"), both[0]), add(both[1], F.transform("prior", lambda q: F.ln(q)))))
+    out = out.withColumn("post", _softmax(F.col("score")))
     names = F.array(*[F.lit(x) for x in languages])
     top = lambda x: F.element_at(names, F.array_position(x, F.array_max(x)).cast("int"))
     told = F.exists("evidence", lambda v: v != 0)

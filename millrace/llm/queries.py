@@ -48,7 +48,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.filter("detections", lambda d: d["base"])
     labels = lambda x: F.array_join(F.array_sort(F.array_distinct(F.transform(x, lambda d: d["label"]))), ",")
     starts = F.transform(own, lambda d: d["start"].cast("long"))
-    best = F.coalesce(F.array_max(F.transform("detections", lambda d: F.least(d["priority"], F.lit(5)))), F.lit(0))
+    best = F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])), F.lit(0))
     return found.select(
         "doc_id",
         "n_words",
@@ -67,12 +67,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The languages that op7 tells apart.
 LANGUAGES = ["de", "en", "es", "fr"]
+#: Documents whose language is given, on which op7 fits its text model: those of the smallest hash of their id.
+MOST_LABELLED = 8000
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages and documents, each under its own id; the text model is fitted on at most 8,000 documents."""
+    """Pages and documents, each under its own id; the text model is fitted on at most ``MOST_LABELLED`` documents."""
     docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
-    chosen = docs.select("doc_id", "lang").filter(F.col("lang").isin(LANGUAGES)).orderBy(F.xxhash64(F.lit(7), "doc_id")).limit(8000).select("doc_id")
+    chosen = docs.select("doc_id", "lang").filter(F.col("lang").isin(LANGUAGES)).orderBy(F.xxhash64(F.lit(7), "doc_id")).limit(MOST_LABELLED).select("doc_id")
     model = language_id.train(docs.join(chosen, "doc_id", "left_semi"), LANGUAGES)
     own = language_id.identify(language_id.document_rows(docs), model, LANGUAGES)
     web = language_id.identify(language_id.page_rows(pages, LANGUAGES), model, LANGUAGES, html=True)

@@ -14,17 +14,19 @@ import os
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import scratch
+from millrace.llm import scratch, worker
 
 #: The skippable frame of a dictionary, and that of a Zstandard frame.
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
+MANIFEST = "manifest"
 _ZERO = "1970-01-01T00:00:00Z"
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc:record")
 
@@ -151,7 +153,7 @@ def _open(uri: str):
 
 
 def _write(folder: str, roll_bytes: int, sample_bytes: int, dictionary_bytes: int, level: int):
-    """Archives of a partition: each is written under a name of this attempt, then renamed."""
+    """Archives of a partition, under names that no other attempt uses."""
     names = ["archive", "page_id", "position"]
 
     def run(batches):
@@ -163,11 +165,9 @@ def _write(folder: str, roll_bytes: int, sample_bytes: int, dictionary_bytes: in
 
         def finish():
             nonlocal archive, number
-            name = f"part-{part:05d}-{number:04d}.warc.zst"
-            own = f"{base}/.{name}.{attempt}"
-            with store.open_output_stream(own, compression=None) as f:
+            name = f"part-{part:05d}-{attempt}-{number:04d}.warc.zst"
+            with store.open_output_stream(f"{base}/{name}", compression=None) as f:
                 f.write(archive.close())
-            store.move(own, f"{base}/{name}")
             out = pa.RecordBatch.from_arrays([pa.array([name] * len(pages)), pa.array(pages, pa.int64()), pa.array(range(len(pages)), pa.int64())], names)
             archive, number = None, number + 1
             pages.clear()
@@ -200,43 +200,61 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, roll_bytes: int = 32 << 20, sample_bytes: int = 2 << 20, dictionary_bytes: int = 64 << 10, level: int = 9, **columns: str) -> DataFrame:
-    """Write a record per row to ``.warc.zst`` archives in folder, a URI that all executors reach.
+    """Write a record per row to ``.warc.zst`` archives in folder, a new one under a URI that all executors reach.
 
-    Returns ``(archive, page_id, position)``.  A null html is an empty payload.  A page whose
+    Returns ``(archive, page_id, position)``, which is also written to ``manifest`` in the folder.  A null html is an empty payload.  A page whose
     payload (of at least least_bytes) equals that of a larger page_id is a revisit of the
     largest; rows that repeat that id are responses.  Null ids are kept, and are responses only
-    where no page with an id has their payload.  An empty table writes no archive.  A task that
-    runs twice writes the same names.
+    where no page with an id has their payload.  Repeated rows are repeated records.  An empty table
+    writes no archive.  Each attempt of a task names its archives apart, and the manifest (which Spark commits
+    once a task) names those of the attempt that counted; archives that it does not name are leftovers.
+    Other columns are ignored.
     """
     rows = with_revisits(pages, least_bytes=least_bytes, **columns)
     run = _write(folder, roll_bytes, sample_bytes, dictionary_bytes, level)
-    return scratch.table(rows.mapInArrow(run, "archive string, page_id long, position long"), "manifest")
+    kind = "archive string, page_id long, position long"
+    rows.mapInArrow(worker.lean(run), kind).write.parquet(f"{folder}/{MANIFEST}")
+    return rows.sparkSession.read.schema(kind).parquet(f"{folder}/{MANIFEST}")
 
 
-def _read(batches):
+def _read(folder: str):
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            rows = []
-            for data in read_archive(content.as_py()):
-                own = parse(data)
-                head = own["headers"]
-                http, _, payload = own["block"].partition(b"\r\n\r\n")
-                size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
-                told = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex()
-                if head["warc-type"] == "response":
-                    if len(payload) != size or hashlib.sha1(payload).hexdigest() != told:
-                        raise ValueError(f"{path}: a payload differs from its digest")
-                page, refers = head.get("page-id"), head.get("refers-to-page-id")
-                rows.append((int(page) if page else None, size, told, head["warc-type"], int(refers) if refers else None, head["warc-target-uri"], path.rpartition("/")[2]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], names)
-
-
-def read_archives(spark, folder: str) -> DataFrame:
+
+    def rows(name: str, content: bytes):
+        for data in read_archive(content):
+            own = parse(data)
+            head = own["headers"]
+            http, _, payload = own["block"].partition(b"\r\n\r\n")
+            size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
+            told = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex()
+            if head["warc-type"] == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != told):
+                raise ValueError(f"{name}: a payload differs from its digest")
+            page, refers = head.get("page-id"), head.get("refers-to-page-id")
+            yield int(page) if page else None, size, told, head["warc-type"], int(refers) if refers else None, head["warc-target-uri"], name
+
+    def run(batches):
+        store, base = _open(folder)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with store.open_input_stream(f"{base}/{name}", compression=None) as f:
+                    content = f.read()
+                found = rows(name, content)
+                while part := list(islice(found, 5000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), kinds, strict=True)], names)
+
+    return run
+
+
+def read_archives(spark, folder: str, most_tasks: int = 10_000) -> DataFrame:
     """``(page_id, payload_bytes, payload_digest, record_type, refers_to, url, archive)`` per record.
 
-    Digests of responses are checked against their payloads; a mismatch raises.
+    Reads the archives that the folder's manifest names, one a task (at most most_tasks tasks), and no others.
+    Null ids come back null, empty payloads with 0 bytes, repeated records as often as they were
+    written; a folder of an empty table gives no rows.  Digests of responses are checked against their
+    payloads; a mismatch raises.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path", "content")
-    return files.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, archive string")
+    archives = spark.read.schema("archive string").parquet(f"{folder}/{MANIFEST}").distinct()
+    archives = scratch.table(archives, "archives")
+    archives = archives.repartition(max(1, min(most_tasks, archives.count())), "archive")
+    return archives.mapInArrow(worker.lean(_read(folder)), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, archive string")
