@@ -12,9 +12,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, graph, importance, jaccard_join, language_id, license_scan, line_dedup, packing, phrase_fingerprint, scratch, span_dedup, warc, word_bpe
+from millrace.llm import decontamination, graph, importance, jaccard_join, language_id, license_scan, line_dedup, packing, phrase_fingerprint, scratch, span_dedup, warc, word_bpe, worker
 from millrace.llm.queries import BASE_PHRASES, tokenizer_path
-from millrace.llm.text_arrays import PUNCT, WHITE, words
+from millrace.llm.text_arrays import PUNCT, WHITE, shingles, words
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -111,8 +111,8 @@ def brute_components(rows, width, num, den):
     return [(i, len(s), root(i)) for i, s in sets]
 
 
-@pytest.mark.parametrize(("width", "num", "tile"), [(4, 85, 4096), (5, 80, 3)])
-def test_jaccard_join(spark, docs, width, num, tile):
+@pytest.mark.parametrize(("width", "num", "tile", "most_tiles"), [(4, 85, 1024, 32), (5, 80, 3, 32), (5, 80, 3, 1)])
+def test_jaccard_join(spark, docs, width, num, tile, most_tiles):
     rng = np.random.default_rng(8)
     rows = fixture_rows()
     shared = text_of(400, 11)
@@ -123,7 +123,7 @@ def test_jaccard_join(spark, docs, width, num, tile):
             for _ in range(int(rng.integers(0, 1 + len(w) // 12))):
                 w[int(rng.integers(len(w)))] = f"e{rng.integers(1000)}"
             rows.append((1000 + 10 * g + c, " ".join(w) + (" " + shared if g < 2 else "")))
-    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), width=width, num=num, tile=tile)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), width=width, num=num, tile=tile, most_tiles=most_tiles)
     want = brute_components(rows, width, num, 100)
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect() if r.doc_id is not None) == sorted(want)
     lost = [r for r in got.collect() if r.doc_id is None]
@@ -168,34 +168,123 @@ def test_line_dedup(spark):
     assert line_dedup.drop_common_lines(table.filter("false")).count() == 0
 
 
+def test_line_dedup_of_long_texts_and_shared_ids(spark):
+    common = [f"common {k}" for k in range(3000)]
+    rows = [(k, "\n".join(common)) for k in range(10)] + [(50, "\n".join(f"own {k}\ncommon {k % 3000}" for k in range(30_000)))]
+    rows += [(None, f"null {k}\nCommon 7\nnull {k}") for k in range(40)] + [(None, "null 3\nCommon 7\nnull 3")] * 20
+    table = spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, lines string")
+    out = line_dedup.drop_common_lines(table, min_docs=10)
+    assert out.columns == ["doc_id", "text", "lines", "n_lines", "n_dropped"]
+    order = lambda x: tuple(str(v) for v in x)
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()), key=order) == sorted(brute_lines(rows, 10, 1), key=order)
+
+
 def test_line_dedup_runs_no_python(docs):
     plan = line_dedup.drop_common_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+LICENCES = [
+    (1, "Licensed under the Apache License, Version 2.0."),
+    (2, "MIT License MIT license; mit   licensee"),
+    (3, None),
+    (4, ""),
+    (5, "This work is licensed under the GNU General Public License, version 3."),
+    (6, "SPDX-License-Identifier: MPL-2.0 or a general  public\nLICENSE"),
+    (7, "é mit license " * 300),
+    (8, "mit"),
+    (9, "w " * 100 + "released under the terms of the GNU Lesser General Public License v2.1 " + "w " * 40 + "All rights reserved. " + "x " * 200 + "GPL"),
+    (10, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    (11, "MIT LİCENSE mit licen\u017fe MIT \u212aLICENSE the MIT LICENSE"),
+    (12, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    (12, "Apache License Apache License 2 Apache License, version 2.0 GNU GPL v3"),
+    (None, "mit license"),
+]
+
+
+def brute_detections(text):
+    """(start, end, label, priority) that stay, from the rules run over every word of the whole text."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    line, at = " " + " ".join(w) + " ", {}
+    for k, m in enumerate(re.finditer(r"(?<= )(?=[^ ])", line)):
+        at[m.start()] = k
+    found = []
+    for rank, r in enumerate(license_scan.rules()):
+        if f" {r.keyword} " in line:
+            p = re.compile(f"(?:{r.pattern})(?= )")
+            for pos, k in at.items():
+                if m := p.match(line, pos):
+                    found.append((k, k + 1 + m[0].count(" "), r.label, r.priority, rank))
+    better = lambda o, d: (o[3], o[1] - o[0], -o[4]) > (d[3], d[1] - d[0], -d[4])
+    return sorted(d[:4] for d in found if not any(o[0] <= d[0] and o[1] >= d[1] and better(o, d) for o in found))
+
+
 def test_license_scan(spark):
-    rows = [
-        (1, "Licensed under the Apache License, Version 2.0."),
-        (2, "MIT License MIT license; mit   licensee"),
-        (3, None),
-        (4, ""),
-        (5, "This work is licensed under the GNU General Public License, version 3."),
-        (6, "SPDX-License-Identifier: MPL-2.0 or a general  public\nLICENSE"),
-        (7, "é mit license " * 300),
-        (8, "mit"),
-    ]
-    table = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, detections int")
-    got = {r.doc_id: r for r in license_scan.scan_licenses(table, base=BASE_PHRASES).collect()}
-    for i, t in rows:
+    table = spark.createDataFrame([(i, t, 0) for i, t in LICENCES], "doc_id long, text string, detections int")
+    out = license_scan.scan_licenses(table, base=BASE_PHRASES)
+    assert out.columns == ["doc_id", "text", "n_words", "detections"]
+    got = {(r.doc_id, r.text): r for r in out.collect()}
+    assert len(got) == len(LICENCES)
+    for i, t in LICENCES:
+        own = got[i, t]
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
-        assert got[i].n_words == len(w)
+        assert own.n_words == len(w)
         want = sorted((j, j + len(p.split()), label) for p, label in BASE_PHRASES.items() for j in range(len(w)) if w[j : j + len(p.split())] == p.split())
-        assert [(d.start, d.end, d.label) for d in got[i].detections if d.base] == want
-    own = lambda i: {d.label for d in got[i].detections if not d.base}
-    assert own(1) == {"apache-2.0"} and own(5) == {"gpl-3.0"} and "mpl-2.0" in own(6) and own(8) == set()
-    assert len(license_scan.rules()) > 200
+        assert [(d.start, d.end, d.label) for d in own.detections if d.base] == want
+        assert [(d.start, d.end, d.label, d.priority) for d in own.detections if not d.base] == brute_detections(t)
+    labels = lambda i: {d.label for k, r in got.items() if k[0] == i for d in r.detections if not d.base}
+    assert labels(1) == {"apache-2.0"} and labels(5) == {"gpl-3.0"} and "mpl-2.0" in labels(6) and labels(8) == set()
+    assert labels(9) == {"lgpl-2.1", "proprietary", "gpl"} and labels(10) == {"mit"}
     plan = license_scan.scan_licenses(table)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+    assert license_scan.scan_licenses(table.filter("false")).count() == 0
+
+
+def test_license_scan_of_segments(spark):
+    """Matches at every distance from the edges of segments, and a megabyte of them."""
+    lines = ["licensed under the terms of the mit license", "general public license version 3", "all rights reserved"]
+    rows = [(k, "v " * k + " ".join(lines)) for k in range(100, 150)] + [(999, "apache license " * 40_000)]
+    got = {r.doc_id: r.detections for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), base=BASE_PHRASES).collect()}
+    for k, t in rows[:-1]:
+        assert [(d.start, d.end, d.label, d.priority) for d in got[k] if not d.base] == brute_detections(t)
+    assert len(got[999]) == 80_000
+
+
+def extremes(pattern):
+    """The shortest and a longest text of a pattern."""
+    import re._parser as parser
+
+    def of(items, most):
+        out = ""
+        for op, arg in items:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "IN":
+                out += chr(next(x[1] if str(x[0]) == "LITERAL" else ord("7") if str(x[0]) == "RANGE" else ord("q") for x in arg))
+            elif op == "SUBPATTERN":
+                out += of(arg[3], most)
+            elif op == "BRANCH":
+                out += (max if most else min)((of(x, most) for x in arg[1]), key=len)
+            elif op == "MAX_REPEAT":
+                lo, hi, own = arg
+                out += of(own, most) * (min(int(hi), 200) if most and int(hi) < 1000 else lo)
+            else:
+                raise AssertionError(op)
+        return out
+
+    return of(parser.parse(pattern), False), of(parser.parse(pattern), True)
+
+
+def test_license_rules():
+    table = license_scan.rules()
+    gates = license_scan.gate_words(sorted({r.keyword for r in table}))
+    assert len(table) > 500
+    for r in table:
+        for text in extremes(r.pattern):
+            assert re.fullmatch(r.pattern, text), r
+            assert f" {r.keyword} " in f" {text} " and gates[r.keyword] in text.split(), (r, text)
+            assert len(text.split()) <= license_scan.SPAN
 
 
 def test_word_bpe_is_exact():
@@ -262,7 +351,10 @@ def test_warc(spark, tmp_path):
     assert got == want
     files = sorted((tmp_path / "warc").glob("*.warc.zst"))
     assert any(f.read_bytes()[:4] == bytes.fromhex("5d2a4d18") for f in files)
+    (tmp_path / "warc" / "part-00000-999-0000.warc.zst").write_bytes(files[0].read_bytes())  # of a lost attempt
+    assert warc.read_archives(spark, folder).count() == len(rows)
     warc.write_archives(pages.filter("false"), f"file://{tmp_path}/none")
+    assert warc.read_archives(spark, f"file://{tmp_path}/none").count() == 0
 
 
 def test_fingerprints(spark, docs, empty):
@@ -346,33 +438,94 @@ def test_decontamination_weighs_by_all_items(spark):
     assert decontamination.without_contaminated(table, bench, block_bytes=5000).count() == 40 - len(whole)
 
 
+def brute_matches(text, index, width, least):
+    """{item: largest similarity} over all windows of the item's words."""
+    own, out = [h[at[0] : at[-1]] for _, h, at, _, _ in words(pa.array([text]), PUNCT)][0], {}
+    for c, i in enumerate(index.ids):
+        k = int(index.width[c])
+        mass = index.weight[np.searchsorted(index.common, index.shingles[c])]
+        if len(own) >= k:
+            runs = shingles(own, k)
+            m = min(int(index.sizes[c]) - k + 1, len(runs))
+            best = max(mass[np.isin(index.shingles[c], runs[s : s + m])].sum() / mass.sum() for s in range(len(runs) - m + 1))
+            if best >= least:
+                out[i] = best
+    return out
+
+
+def test_decontamination_against_brute_force():
+    rng = np.random.default_rng(4)
+    pool = [f"v{k}" for k in range(60)]
+    items = [(k, " ".join(rng.choice(pool, int(rng.integers(1, 40))))) for k in range(40)]
+    items += [(100 + k, items[k][1] + " and more of it") for k in range(20)]
+    index = decontamination.build_index(items, 17)
+    n, found = 0, 0
+    for i, t in items:
+        for edits in range(4):
+            w = t.split()
+            for _ in range(edits):
+                w[int(rng.integers(len(w)))] = f"e{rng.integers(99)}"
+            text = " ".join([*rng.choice(pool, int(rng.integers(0, 30))), *w, *rng.choice(pool, 20)])
+            want = brute_matches(text, index, 5, 0.8)
+            got = {index.ids[c]: x for c, _, _, x in decontamination._find(index, next(words(pa.array([text]), PUNCT))[1], 5, 17, 0.8)}
+            all_of = {index.ids[c]: x for c, _, _, x in decontamination._find(index, next(words(pa.array([text]), PUNCT))[1], 5, 64, 0.8)}
+            assert all_of == pytest.approx(want)  # with every print in reach, windows and verification are exact
+            assert set(got) <= set(want)
+            if not edits:
+                assert i in got
+            n, found = n + len(want), found + len(got)
+    assert found > 0.95 * n > 100
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=20), st.lists(st.integers(0, 63), max_size=20), st.integers(0, 22))
+def test_blocks_miss_no_print_within_the_radius(prints, bits, radius):
+    items = np.array(prints, dtype=np.uint64)
+    asked = np.array([x ^ sum(1 << b for b in set(bits[:k])) for k, x in enumerate(prints * 2)], dtype=np.uint64)
+    got = decontamination.within_radius(asked, decontamination._cells(items), items, radius)
+    want = [(a, b) for a, x in enumerate(asked.tolist()) for b, y in enumerate(prints) if (x ^ y).bit_count() <= radius]
+    assert list(zip(*(g.tolist() for g in got), strict=True)) == want
+
+
+def test_rolling_simhash_equals_one_window_at_a_time():
+    rng = np.random.default_rng(6)
+    h, w = rng.integers(0, 2**63, 300).astype(np.uint64) * np.uint64(3), rng.integers(1, 5000, 300).astype(np.int32)
+    for m in (1, 7, 300):
+        got = decontamination.simhashes(h, w, m)
+        for s in (0, (300 - m) // 2, 300 - m):
+            want = sum(1 << b for b in range(64) if sum(int(x) * (1 if int(y) >> b & 1 else -1) for x, y in zip(w[s : s + m], h[s : s + m], strict=True)) > 0)
+            assert int(got[s]) == want
+
+
 def test_decontamination_finds_every_exact_passage(spark):
     table, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     held = {(d.doc_id, b.item_id) for d in table.collect() for b in bench.collect() if b.text in (d.text or "")}
     assert held <= {(r.doc_id, r.item_id) for r in decontamination.contaminated(table, bench).collect()}
 
 
-def brute_spans(rows, min_words):
+def brute_spans(rows, min_words, hashes):
     first, own = {}, []
-    for i, t in sorted((r for r in set(rows) if r[0] is not None and r[1]), key=lambda r: (r[0], r[1])):
-        lo, k = 0, 0
+    for i, h, t in sorted({(r[0], hashes[r[1]], r[1]) for r in rows if r[0] is not None and r[1]}):
+        lo, k, mine = 0, 0, []
         for hi in span_dedup.units(t):
             w = tuple(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t[lo:hi].translate(LOWER)))
             if w:
-                first.setdefault(w, (i, lo))
-                first[w] = min(first[w], (i, lo))
-                own.append((i, k, lo, hi, w))
+                first.setdefault(w, (i, h, lo))
+                first[w] = min(first[w], (i, h, lo))
+                mine.append(((i, h), k, lo, hi, w))
                 k += 1
             lo = hi
+        own += [(*m, len(mine)) for m in mine]
     out, run = [], []
-    for i, k, lo, hi, w in [*own, (None, 0, 0, 0, ())]:
-        later = i is not None and first[w] != (i, lo)
-        if run and not (later and i == run[-1][0] and k == run[-1][1] + 1):
-            if sum(len(r[4]) for r in run) >= min_words:
-                out.append((run[0][0], run[0][2], run[-1][3], sum(len(r[4]) for r in run), *first[run[0][4]]))
+    for key, k, lo, hi, w, of in [*own, (None, 0, 0, 0, (), 0)]:
+        later = key is not None and first[w] != (*key, lo)
+        if run and not (later and key == run[-1][0] and k == run[-1][1] + 1):
+            if sum(len(r[4]) for r in run) >= min_words or len(run) == run[0][5]:
+                kept = first[run[0][4]]
+                out.append((run[0][0][0], run[0][2], run[-1][3], sum(len(r[4]) for r in run), kept[0], kept[2], run[0][0][1]))
             run = []
         if later:
-            run.append((i, k, lo, hi, w))
+            run.append((key, k, lo, hi, w, of))
     return sorted(out)
 
 
@@ -380,15 +533,28 @@ def test_span_dedup(spark, empty):
     passage = "Été one two three. Four five six! Seven\neight nine ten eleven twelve."
     rows = [(5, "Own start here. " + passage + " Own end."), (3, passage), (9, "Short one. " + passage + "\n" + passage), (11, "Own start here. nothing"), (12, None), (13, ""), (14, "..."), (3, passage), (None, passage)]
     rows += [(20 + k, text_of(40, k % 3)) for k in range(6)]
+    rows += [(30, "Four five six!"), (31, "Four five six! Own tail."), (40, text_of(3000, 7)), (41, text_of(3000, 7))]
     table = spark.createDataFrame([(i, t, 3) for i, t in rows], "doc_id long, text string, start int")
+    hashes = {r.text: r.h for r in table.select("text", F.xxhash64("text").alias("h")).collect()}
     for least in (1, 8, 20):
         got = span_dedup.repeated_spans(table, min_words=least)
-        assert sorted(tuple(r) for r in got.collect()) == brute_spans(rows, least)
+        assert sorted(tuple(r) for r in got.collect()) == brute_spans(rows, least, hashes)
     cut = {r.doc_id: r for r in span_dedup.remove_spans(table, got.filter("false").unionByName(span_dedup.repeated_spans(table, min_words=8))).collect()}
     assert cut[5].text == "Own start here. Own end." and cut[3].text == passage and cut[12].text is None
+    assert cut[30].text == "" and cut[31].text == "Four five six! Own tail." and cut[41].text == ""
     assert span_dedup.repeated_spans(empty).count() == 0
 
 
+def test_span_dedup_of_ids_with_different_texts(spark):
+    passage = " ".join(f"w{k}" for k in range(13)) + "."
+    rows = [(1, passage), (2, passage), (2, "Zz yy xx. " + passage), (2, passage)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = {r.text: r.h for r in table.select("text", F.xxhash64("text").alias("h")).collect()}
+    got = span_dedup.repeated_spans(table, min_words=5)
+    assert sorted(tuple(r) for r in got.collect()) == brute_spans(rows, 5, hashes)
+    assert sorted(r.text for r in span_dedup.remove_spans(table, got).collect()) == ["", "", "Zz yy xx. ", passage]
+
+
 def test_language_id(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     langs = ["de", "en", "es", "fr"]
@@ -403,6 +569,71 @@ def test_language_id(spark):
     assert language_id.identify(rows.filter("false"), model, langs).count() == 0
 
 
+def test_visible_text():
+    cases = {
+        "<p>one</p>two": " one two",
+        "a<!-- x > y -->b": "a b",
+        "a<!-- x > y": "a y",
+        "<script>if (a < b) c</SCRIPT >t": " t",
+        "<script>if (a > b": "if (a > b",
+        "<Head><title>t</title></head>z<header>h": " z h",
+        "1 < 2": "1 < 2",
+        "": "",
+        "q&amp;r": "q r",
+    }
+    for html, want in cases.items():
+        assert language_id.visible_text(html).split() == want.split(), html
+    for long in ("<!-- x" * 200_000, "<script>" * 200_000, "<" * 1_000_000, "<style><!--" * 100_000 + "tail"):
+        language_id.visible_text(long)  # quadratic time would not end
+
+
+def brute_languages(rows, model, languages, bound=30.0, strength=4.0):
+    """(lang, confidence) by row: plain sums over the other rows of host, domain, suffix and corpus."""
+    n, seen = len(languages), []
+    for _, text, declared, address, host in rows:
+        f = [int(h % np.uint64(model.shape[1])) for _, hs, _, _, _ in words(pa.array([text], pa.string()), PUNCT) for h in hs]
+        s = model[:, f].sum(axis=1) if f else np.zeros(n)
+        e = bound * np.tanh((s - s.max()) / bound)
+        p = np.exp(e - e.max())
+        host = host or ""
+        parts = host.split(".")
+        known = [x.lower() if x and x.lower() in languages else None for x in (declared, address)]
+        seen.append((e, p / p.sum(), known, host, ".".join(parts[-2:]), parts[-1]))
+    out = []
+    for k, (e, _, known, *own) in enumerate(seen):
+        prior = np.full(n, 1.0 / n)
+        for at, by in ((None, n), (2, strength), (1, strength), (0, strength)):
+            rest = sum((x[1] for j, x in enumerate(seen) if j != k and (at is None or x[3 + at] == own[at])), np.zeros(n))
+            prior = (rest + by * prior) / (rest.sum() + by)
+        score = e + np.log(prior)
+        for c in (0, 1):
+            counts = np.eye(n) * 2 + 0.5
+            for x in seen:
+                if x[2][c]:
+                    counts[languages.index(x[2][c])] += x[1]
+            if known[c]:
+                score = score + np.log(counts / counts.sum(axis=0))[languages.index(known[c])]
+        post = np.exp(score - score.max())
+        post /= post.sum()
+        out.append((languages[int(post.argmax())], post.max()))
+    return out
+
+
+def test_language_id_against_brute_force(spark, empty):
+    langs = ["de", "en", "es", "fr"]
+    table = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60)
+    model = language_id.train(table, langs, buckets=512)
+    hosts = ["a.x.de", "b.x.de", "x.de", "blog.example.com", "www.example.com", "lonely.org", None, ""]
+    rng = np.random.default_rng(2)
+    rows = [(k, r.text[: int(rng.integers(0, 80))], rng.choice(["de", "FR", "xx", None]), rng.choice(["es", None]), rng.choice(hosts)) for k, r in enumerate(table.collect())]
+    rows += [(100, None, None, None, "alone.net"), (101, "", "de", None, "alone2.net"), (102, text_of(30_000, 5), None, None, None), (5, *rows[5][1:])]
+    frame = spark.createDataFrame([(*r, "clash") for r in rows], "id long, text string, declared string, address string, host string, p string").repartition(3)
+    got = {(r.id, r.lang, round(r.confidence, 9)) for r in language_id.identify(frame, model, langs).collect()}
+    want = brute_languages(rows, model, langs)
+    assert got == {(r[0], lang, round(float(x), 9)) for r, (lang, x) in zip(rows, want, strict=True)}
+    assert language_id.identify(frame, model, langs).count() == len(rows)
+
+
 def test_language_declared_late_in_a_page(spark):
     pages = [(1, "http://x.example.com/a", "<!-- " + "licence " * 400 + '--><html lang="fr"><body></body></html>'), (2, "http://x.example.com/b", " " * 30_000 + "<HTML class=x LANG=de><p>x"), (3, "http://x.example.com/c", "<!-- " + "x" * 3000 + "--><html><body></body></html>")]
     rows = language_id.page_rows(spark.createDataFrame(pages, "page_id long, url string, html string"), ["de", "en", "fr"])
@@ -420,6 +651,26 @@ def test_small_archives_have_a_dictionary():
         assert list(warc.read_archive(data)) == records
 
 
-def test_scratch_needs_a_shared_folder(spark):
-    path = scratch.new_path(spark, "t", keep=True)
-    assert path.startswith(scratch.checkpoint_root(spark))
+def test_scratch_tables_live_in_a_shared_folder(spark):
+    assert scratch.new_path(spark, "t").startswith(scratch.checkpoint_root(spark))
+
+
+def test_temporary_tables_of_one_run_leave_others_alone(spark):
+    outer = scratch.table(spark.range(5), "outer")
+    with scratch.temporary(spark):
+        inner = scratch.table(spark.range(7), "inner")
+        with scratch.temporary(spark):
+            assert scratch.table(spark.range(3), "nested").count() == 3
+        assert inner.count() == 7
+    assert outer.count() == 5
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        inner.count()
+
+
+def test_slices_keep_all_rows_in_order():
+    texts = ["x" * int(n) for n in RNG.integers(0, 400_000, 60)] + ["y" * (5 << 20), None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["i", "t"])
+    parts = list(worker.slices(iter([batch, batch.slice(0, 0)])))
+    assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert [x for p in parts for x in p.column(1).to_pylist()] == texts
+    assert all(p.nbytes <= worker.SLICE or p.num_rows == 1 for p in parts)
