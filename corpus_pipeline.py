@@ -1,8 +1,11 @@
 """A corpus from raw documents to packed sequences: five stages, each an operator of ``millrace.llm``.
 
 A stage takes the documents that its predecessor kept, and returns those that it keeps (the last:
-pieces of sequences).  Each result is written as Parquet under the shared folder and read
-again, so what a stage wrote for itself on the way is no longer needed when the next begins.
+pieces of sequences).  ``run`` writes each result as Parquet under the shared folder and reads it
+again; what a stage wrote for itself on the way is deleted once its result is written.
+
+All stages: rows are whole documents.  Null and empty texts, null ids, repeated ids and rows, ties, an
+empty table and further columns of any name are dealt with as each stage says; none of them fails.
 """
 
 from __future__ import annotations
@@ -15,36 +18,46 @@ from millrace.llm.queries import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
+    """Rejected documents go.  A null or blank text weighs 0, so it stays or goes with neutral texts; repeated
+    rows have one weight and one draw by id and stand or fall together; without labels all stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return importance.resample(docs, labels).select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Common lines go; ``n_chars`` follows the text."""
-    scratch.release(spark)
+    """Common lines go; ``n_chars``, where there is one, follows the text.  A null text becomes the empty text;
+    rows of one id (null included) are one document when documents are counted; no row goes."""
     kept = line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast("long"))
+    return kept.select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest id stays, and of repeated rows one; null ids have no group."""
-    scratch.release(spark)
-    groups = jaccard_join.near_duplicates(docs, width=5, num=80, den=100)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct().withColumn("__stays", F.lit(True))
-    kept = docs.join(stay, F.col("doc_id") == F.col("__id"), "left").filter(F.col("doc_id").isNull() | F.col("__stays"))
-    return kept.select(docs.columns).dropDuplicates(["doc_id", "text"])
+    """Of each group of near copies the smallest id stays.  Null and blank texts and rows with a null id are
+    linked with nothing and stay; of rows with equal id and text one stays, of rows that share an id
+    and differ in text all or none."""
+    node = scratch.unused("node", docs)
+    with scratch.temporary(spark) as keep:
+        groups = jaccard_join.near_duplicates(docs, width=5, num=80, den=100)
+        stay = groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(node)).agg(F.count(F.lit(1)).alias("n"))
+        stay = keep(stay, "stay")
+    these = lambda ids: docs.join(ids.select(node), F.col("doc_id") == F.col(node), "left_semi")
+    once, more, again = stay.filter("n = 1"), stay.filter("n > 1"), docs.filter("doc_id IS NULL")
+    if not more.isEmpty():
+        again = again.unionByName(these(more))
+    return these(once).unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    scratch.release(spark)
+    """Documents that hold a benchmark item go.  Null and empty texts hold none and stay; each row is judged by
+    its text alone."""
     return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All that is left, packed."""
-    scratch.release(spark)
+    """All that is left, packed: a null or empty text is the one id that ends a document, every row is
+    packed, and null ids stay null."""
     return packing.pack(docs, tokenizer_path())
 
 
@@ -56,18 +69,20 @@ STAGES = [
     ("packing", sequences),
 ]
 
-#: The first, fourth and fifth stage have no SQL form; tests hold the stages against brute force.
+#: The first, third, fourth and fifth stage have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        if stage is STAGES[-1][1]:
-            return out
-        path = scratch.new_path(spark, "stage", keep=True)
-        out.write.parquet(path)
+    """All stages on ``documents``; of what they wrote, the documents that the last one packs stay."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        path = scratch.new_path(spark, "stage")
+        with scratch.temporary(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
-    return docs
+        if last:
+            scratch.delete(spark, last)
+        last = path
+    return STAGES[-1][1](spark, docs, sf_dir)
