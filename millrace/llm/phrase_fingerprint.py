@@ -51,6 +51,24 @@ def _labels(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
     return label
 
 
+def _runs(symbols: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the runs of equal symbols (new: where one begins) and a symbol for each."""
+    runs = np.flatnonzero(new)
+    return runs, _joined(symbols[runs], np.diff(np.append(runs, len(symbols))))
+
+
+def _joined(symbols: np.ndarray, length: np.ndarray) -> np.ndarray:
+    return np.where(length > 1, mix(symbols * U(0xD1342543DE82EF95) + length.astype(np.uint64)), symbols)
+
+
+def _names(own: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the symbols of each phrase, wherever it stands."""
+    up, down = powers(len(own) + 1)
+    sums = np.zeros(len(own) + 1, dtype=np.uint64)
+    np.cumsum(mix(own + U(0x632BE59BD9B4E019)) * up[: len(own)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
 def phrases(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Names of the phrases of texts side by side, and the texts' offsets among them.
 
@@ -59,10 +77,7 @@ def phrases(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     new = np.ones(len(symbols), dtype=bool)
     new[1:] = symbols[1:] != symbols[:-1]
     new[offsets[:-1]] = True
-    runs = np.flatnonzero(new)
-    length = np.diff(np.append(runs, len(symbols)))
-    own = symbols[runs]
-    own = np.where(length > 1, mix(own * U(0xD1342543DE82EF95) + length.astype(np.uint64)), own)
+    runs, own = _runs(symbols, new)
     first = np.searchsorted(runs, offsets[:-1])
     label = _labels(own, first)
     top = np.zeros(len(own), dtype=bool)
@@ -70,34 +85,83 @@ def phrases(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     top[np.append(first[1:], len(own)) - 1] = False  # a text's last run has no right neighbour
     top[first] = True
     starts = np.flatnonzero(top)
-    up, down = powers(len(own) + 1)
-    sums = np.zeros(len(own) + 1, dtype=np.uint64)
-    np.cumsum(mix(own + U(0x632BE59BD9B4E019)) * up[: len(own)], out=sums[1:])
-    ends = np.append(starts[1:], len(own))
-    return mix((sums[ends] - sums[starts]) * down[starts]), np.append(np.searchsorted(starts, first), len(starts))
-
-
-def sketches(texts: list[str]) -> np.ndarray:
-    """Least names by text and bin; texts of more than SEGMENT code points are parsed in segments."""
+    return _names(own, starts, np.append(starts[1:], len(own))), np.append(np.searchsorted(starts, first), len(starts))
+
+
+class Parser:
+    """``phrases`` of one text that comes in pieces: the same names, from a buffer that does not grow with it.
+
+    A label depends on a run and the four before it, and a phrase's start on the labels of a run and
+    its neighbours.  So the buffer begins ``CONTEXT`` runs before the phrase that is open, and a run
+    waits until the next begins."""
+
+    CONTEXT = 6
+
+    def __init__(self):
+        self.symbol, self.length = U(0), 0  # the run that may go on
+        self.own = np.zeros(0, dtype=np.uint64)
+        self.open = 0  # where in the buffer the open phrase starts
+
+    def feed(self, symbols: np.ndarray, last: bool) -> np.ndarray:
+        new = np.ones(len(symbols), dtype=bool)
+        new[1:] = symbols[1:] != symbols[:-1]
+        at = np.flatnonzero(new)
+        kinds, lengths = symbols[at], np.diff(np.append(at, len(symbols)))
+        if self.length and len(kinds) and kinds[0] == self.symbol:
+            lengths[0] += self.length
+        elif self.length:
+            kinds, lengths = np.append(self.symbol, kinds), np.append(self.length, lengths)
+        self.length = 0
+        if len(kinds) and not last:
+            self.symbol, self.length = kinds[-1], int(lengths[-1])
+            kinds, lengths = kinds[:-1], lengths[:-1]
+        own = self.own = np.concatenate([self.own, _joined(kinds, lengths)])
+        if len(own) < 2 and not last:
+            return own[:0]
+        label = _labels(own, np.zeros(min(1, len(own)), dtype=np.int64))
+        top = (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
+        starts = np.flatnonzero(top) + 1
+        bounds = np.concatenate([[self.open], starts[starts > self.open], [len(own)] * (last and len(own) > 0)]).astype(np.int64)
+        names = _names(own, bounds[:-1], bounds[1:])
+        cut = max(0, int(bounds[-1]) - self.CONTEXT)
+        self.own, self.open = own[cut:].copy(), int(bounds[-1]) - cut
+        return names
+
+
+def _least(least: np.ndarray, names: np.ndarray, level: int, docs: np.ndarray | int) -> None:
+    if level in KEPT_LEVELS:
+        tagged = mix(names + U(level))
+        np.minimum.at(least, docs * BINS + (tagged >> U(58)).astype(np.int64), tagged)
+
+
+def _symbols(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+
+
+def sketches(texts: list[str], segment: int = SEGMENT) -> np.ndarray:
+    """Least names by text and bin.  Short texts are parsed side by side, longer ones than segment in pieces."""
     least = np.full(len(texts) * BINS, _EMPTY, dtype=np.uint64)
-    parts = [(i, t[a : a + SEGMENT]) for i, t in enumerate(texts) for a in range(0, len(t), SEGMENT)]
+    for i, t in enumerate(texts):
+        if len(t) > segment:
+            parsers = [Parser() for _ in range(LEVELS)]
+            for lo in range(0, len(t), segment):
+                names = _symbols(t[lo : lo + segment])
+                for level, parser in enumerate(parsers, 1):
+                    names = parser.feed(names, lo + segment >= len(t))
+                    _least(least, names, level, i)
+    rest = [i for i, t in enumerate(texts) if 0 < len(t) <= segment]
     at = 0
-    while at < len(parts):
+    while at < len(rest):
         size, to = 0, at
-        while to < len(parts) and (to == at or size + len(parts[to][1]) <= SEGMENT):
-            size += len(parts[to][1])
+        while to < len(rest) and (to == at or size + len(texts[rest[to]]) <= segment):
+            size += len(texts[rest[to]])
             to += 1
-        group = parts[at:to]
-        at = to
-        symbols = np.frombuffer("".join([t for _, t in group]).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in group])])
-        docs = np.array([i for i, _ in group])
+        docs, at = np.array(rest[at:to]), to
+        symbols = _symbols("".join([texts[i] for i in docs]))
+        offsets = np.concatenate([[0], np.cumsum([len(texts[i]) for i in docs])])
         for level in range(1, LEVELS + 1):
             symbols, offsets = phrases(symbols, offsets)
-            if level in KEPT_LEVELS:
-                tagged = mix(symbols + U(level))
-                doc = np.repeat(docs, np.diff(offsets))
-                np.minimum.at(least, doc * BINS + (tagged >> U(58)).astype(np.int64), tagged)
+            _least(least, symbols, level, np.repeat(docs, np.diff(offsets)))
     return least.reshape(-1, BINS)
 
 
@@ -127,7 +191,9 @@ def _like(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", name: str = "fingerprint") -> DataFrame:
-    """``docs`` with a fingerprint of the whole text (null as empty); other columns pass through."""
+    """``docs`` with a fingerprint of the whole text (null as empty); other columns pass through, a column of the
+    result's name is replaced.  Rows are judged alone: repeated rows have equal fingerprints, an empty text
+    one of empty bins, an empty table gives an empty result."""
     kind = docs.drop(name).withColumn(name, F.lit(""))
 
     def run(batches):
