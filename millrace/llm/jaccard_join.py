@@ -63,7 +63,7 @@ def _sizes(width: int):
                 sub.append(int(np.count_nonzero((own & _QUARTER) == 0)))
                 k1.append(a)
                 k2.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sub, pa.int64()), _signed(k1), _signed(k2)], ["doc_id", "n", "sub", "k1", "k2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(sub, pa.int64()), _signed(k1), _signed(k2)], ["doc_id", "text_hash", "n", "sub", "k1", "k2"])
 
     return run
 
@@ -156,11 +156,11 @@ def _summed(table: pa.Table) -> pa.Table:
 def _full(width: int):
     def run(batches):
         for batch in batches:
-            rows = [(own.view(np.int64), a, b) for _, own, a, b in _sets(batch, width)]
+            rows = [(own.view(np.int64), key) for _, own, key, _ in _sets(batch, width)]
             for lo in range(0, len(rows), 500):
                 part = rows[lo : lo + 500]
                 lists = pa.ListArray.from_arrays(np.cumsum([0] + [len(x[0]) for x in part]).astype(np.int32), pa.array(np.concatenate([x[0] for x in part])))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(part)), lists, _signed([x[1] for x in part]), _signed([x[2] for x in part])], ["node", "hs", "k1", "k2"])
+                yield pa.RecordBatch.from_arrays([_signed([x[1] for x in part]), lists], ["node", "hs"])
 
     return run
 
@@ -242,7 +242,7 @@ def _products(num: int, den: int):
 
 
 def _components(base: DataFrame, sized: DataFrame, width: int, num: int, den: int, tile: int, most_tiles: int) -> DataFrame:
-    """``(k1, k2, class_id, component_id)`` of each class of texts with equal sets."""
+    """``(k1, k2, class_id, component, component_id)`` of each class of texts with equal sets; k1 names it in all steps between."""
     keys = ["k1", "k2"]
     classes = sized.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sub").alias("sub"))
     total = sized.agg(F.sum("sub")).first()[0] or 0
@@ -252,12 +252,12 @@ def _components(base: DataFrame, sized: DataFrame, width: int, num: int, den: in
     slack = F.expr(f"n - ceil({num} * n / {den})")
     alive = classes.join(shared, classes.k1 == shared.cls, "left").filter(F.col("sub") - F.coalesce("cnt", F.lit(0)) <= slack)
     alive = scratch.table(alive.select("rep"), "alive").distinct()
-    full = base.join(alive, base.doc_id == alive.rep, "left_semi").mapInArrow(worker.lean(_full(width)), "node long, hs array<long>, k1 long, k2 long")
-    full = scratch.table(full.dropDuplicates(["node", *keys]).filter(F.size("hs") > 0), "sets")
-    cells = full.select("node", "k1", F.size("hs").alias("n"), F.explode("hs").alias("h"))
+    full = base.join(alive, base.doc_id == alive.rep, "left_semi").mapInArrow(worker.lean(_full(width)), "node long, hs array<long>")
+    full = scratch.table(full.dropDuplicates(["node"]).filter(F.size("hs") > 0), "sets")
+    cells = full.select("node", F.size("hs").alias("n"), F.explode("hs").alias("h"))
     common = cells.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     common = scratch.table(common, "common")
-    held = cells.join(common, "h").groupBy("node", "k1", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("s"))
+    held = cells.join(common, "h").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("s"))
     spare = F.expr(f"cast(n - ceil({num} * n / {den}) + 1 - (n - size(s)) as int)")  # of the prefix, what is left for shared n-grams
     prefix = held.withColumn("spare", spare).filter("spare > 0").select("node", F.explode(F.expr("slice(s, 1, spare)")).alias("x")).select("node", F.col("x.h").alias("h"))
     prefix = scratch.table(prefix, "prefix")
@@ -281,24 +281,29 @@ def _components(base: DataFrame, sized: DataFrame, width: int, num: int, den: in
     dealt = placed.join(full.select("node", "hs"), "node").select("component", "h", "a", "b", "node", "side", "hs").repartition("component", "h", "a", "b").sortWithinPartitions("component", "h", "a", "b", "node")
     links = dealt.mapInArrow(worker.lean(_products(num, den)), "u long, v long")
     found = connected_components(links)
-    return classes.join(found, classes.rep == found.node, "left").select(*keys, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
+    marked = classes.join(found, classes.k1 == found.node, "left").select(*keys, F.col("rep").alias("class_id"), F.coalesce("component", "k1").alias("component"))
+    marked = scratch.table(marked, "marked")
+    least = scratch.table(marked.groupBy("component").agg(F.min("class_id").alias("component_id")), "least")
+    return marked.join(least, "component").select(*keys, "class_id", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100, tile: int = 1024, most_tiles: int = 32) -> DataFrame:
-    """``(doc_id, n_shingles, class_id, component_id)`` (long), a row for each row of ``docs``.
+    """``(doc_id, n_shingles, class_id, component_id, component, text_hash)`` (long), a row for each row of ``docs``.
 
     Two texts link when ``den * |A & B| >= num * |A | B|`` over their sets of ``width``-word
     n-grams (a shorter text: all its words as one; none: the empty set, linked with nothing).
     ``class_id`` is the smallest id with an equal set, ``component_id`` the smallest that links
-    reach, itself included.  Ids are integers.  Rows that share an id count as one document;
-    a row with a null id is linked with nothing (both ids null).  Null and blank texts have
-    n_shingles 0.  Other columns are ignored; an empty table gives an empty result.
+    reach, itself included; ``component`` is a name of that group (null for a text that is linked with
+    nothing by definition), ``text_hash`` the xxhash64 of the text, which tells rows of one id apart.  Ids are integers.
+    Each row is judged by its text, whatever other rows share its id; a row with a null id is linked with nothing
+    (ids and component null).  Null and blank texts have n_shingles 0.  Other columns are ignored; an empty table gives an empty result.
 
     What joins on an n-gram or on the key of a class is written first, so that both sides have a
     shuffle of their own and Spark can split a hot key.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sized = scratch.table(base.mapInArrow(worker.lean(_sizes(width)), "doc_id long, n long, sub long, k1 long, k2 long"), "sizes")
+    marked = base.withColumn("text_hash", F.xxhash64("text"))
+    sized = scratch.table(marked.mapInArrow(worker.lean(_sizes(width)), "doc_id long, text_hash long, n long, sub long, k1 long, k2 long"), "sizes")
     keys = ["k1", "k2"]
     with scratch.temporary(docs.sparkSession) as keep:
         named = keep(_components(base, sized, width, num, den, tile, most_tiles), "named")
@@ -309,4 +314,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("n").alias("n_shingles"),
         F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.when(known, F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.when(known & (F.col("n") > 0), F.col("component")).alias("component"),
+        "text_hash",
     )
