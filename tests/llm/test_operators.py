@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, graph, importance, jaccard_join, language_id, license_scan, line_dedup, packing, phrase_fingerprint, scratch, span_dedup, warc, word_bpe, worker
+from millrace.llm import decontamination, graph, importance, jaccard_join, language_id, license_scan, line_dedup, packing, phrase_fingerprint, scratch, span_dedup, text_arrays, warc, word_bpe, worker
 from millrace.llm.queries import BASE_PHRASES, tokenizer_path
 from millrace.llm.text_arrays import PUNCT, WHITE, shingles, words
 
@@ -375,6 +375,58 @@ def test_fingerprints(spark, docs, empty):
     assert phrase_fingerprint.fingerprints(docs.drop("n_lines")).columns == ["doc_id", "text", "component_id", "fingerprint"]
 
 
+def plain_phrases(symbols):
+    """The phrases of one sequence as tuples, symbol by symbol."""
+    runs = []
+    for x in symbols:
+        if runs and runs[-1][0] == x:
+            runs[-1][1] += 1
+        else:
+            runs.append([x, 1])
+    key = [x if n == 1 else (x, n) for x, n in runs]
+    own = [int(phrase_fingerprint._joined(np.array([x], dtype=np.uint64), np.array([n]))[0]) for x, n in runs]
+    label = own
+    for step in range(4):
+        left = [label[0] ^ 1, *label[:-1]]
+        bit = [((a ^ b) & -(a ^ b)).bit_length() - 1 for a, b in zip(label, left, strict=True)]
+        label = [2 * k + (a >> k & 1) for k, a in zip(bit, label, strict=True)]
+    starts = [0] + [i for i in range(1, len(label) - 1) if label[i - 1] < label[i] > label[i + 1]]
+    return [tuple(key[a:b]) for a, b in zip(starts, [*starts[1:], len(key)], strict=True)]
+
+
+SEQUENCES = st.lists(st.tuples(st.integers(97, 104), st.integers(1, 3)), min_size=1, max_size=120).map(lambda x: "".join(chr(c) * n for c, n in x))
+
+
+@settings(max_examples=60, deadline=None)
+@given(SEQUENCES)
+def test_phrases_against_a_plain_parse(text):
+    names, offsets = phrase_fingerprint.phrases(phrase_fingerprint._symbols(text), np.array([0, len(text)]))
+    want = plain_phrases([ord(c) for c in text])
+    assert len(names) == len(want) == offsets[-1]
+    by = {}
+    assert all(by.setdefault(w, int(n)) == int(n) for w, n in zip(want, names, strict=True)) and len(set(by.values())) == len(by)
+
+
+@settings(max_examples=60, deadline=None)
+@given(SEQUENCES, st.integers(1, 40))
+def test_a_text_in_pieces_is_parsed_as_a_whole(text, segment):
+    own = phrase_fingerprint._symbols(text)
+    parser = phrase_fingerprint.Parser()
+    got = [parser.feed(own[lo : lo + segment], lo + segment >= len(own)) for lo in range(0, len(own), segment)]
+    assert np.concatenate(got).tolist() == phrase_fingerprint.phrases(own, np.array([0, len(own)]))[0].tolist()
+    assert (phrase_fingerprint.sketches([text, "", text], segment) == phrase_fingerprint.sketches([text, "", text])).all()
+
+
+def test_long_texts_have_no_cuts():
+    text = text_of(120_000, 77) + "z" * 700_000 + text_of(9_000, 78)
+    assert len(text) > 2 * phrase_fingerprint.SEGMENT
+    whole = phrase_fingerprint.sketches([text], len(text))
+    assert (phrase_fingerprint.sketches([text]) == whole).all()
+    names = lambda t, segment: {int(x) for p in [phrase_fingerprint.Parser()] for lo in range(0, len(t), segment) for x in p.feed(phrase_fingerprint._symbols(t[lo : lo + segment]), lo + segment >= len(t))}
+    a, b = names(text, phrase_fingerprint.SEGMENT), names("shifted by a few: " + text, phrase_fingerprint.SEGMENT)
+    assert len(a ^ b) < 12
+
+
 def test_parsing_is_locally_consistent():
     one = text_of(400, 9)
     for shift in ("", "q", "qrs tu", "zz" * 40):
@@ -401,6 +453,61 @@ def test_importance(spark, docs, empty):
     assert importance.resample(docs, none).columns == [*docs.columns, "log_weight", "gumbel_key"]
 
 
+def brute_resample(spark, rows, labels, buckets=1 << 16, most=20_000, temperature=0.05, seed=17, k=None):
+    """Places of the rows that stay: models, weights, threshold, draws and the k largest keys, one text at a time."""
+    feats = []
+    for _, t in rows:
+        h = [int(x) for _, hs, _, _, _ in words(pa.array([t], pa.string()), WHITE) for x in hs]
+        one = [x % buckets for x in h]
+        two = [int(text_arrays.mix(np.array([(3 * a + b) % 2**64], dtype=np.uint64))[0]) % buckets for a, b in zip(h, h[1:], strict=False)]
+        feats.append(one + two)
+    named = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            named[i] = min(q, named.get(i, q))
+    order = spark.createDataFrame([(i,) for i in named], "doc_id long").select("doc_id", F.xxhash64(F.lit(seed), "doc_id").alias("h")).collect()
+    chosen = sorted((r.h, r.doc_id) for r in order)[:most]
+    test = {i for h, i in chosen if h % 5 == 0}
+    fit = {i for h, i in chosen if h % 5 != 0 and named[i] == 1}
+    target, raw = Counter(), Counter()
+    for (i, _), f in zip(rows, feats, strict=True):
+        raw.update(f)
+        if i in fit:
+            target.update(f)
+    logs = lambda c: {b: np.log((c[b] + 1) / (sum(c.values()) + buckets)) for b in raw}
+    p, q = logs(target), logs(raw)
+    weight = [sum(p[b] - q[b] for b in f) / np.sqrt(len(f)) if f else 0.0 for f in feats]
+    keys = []
+    for (i, _), w in zip(rows, weight, strict=True):
+        u = int(text_arrays.mix(np.array([((i if i is not None else -1) * 0x9E3779B97F4A7C15 + seed) % 2**64], dtype=np.uint64))[0]) >> 11
+        keys.append(w / temperature - np.log(-np.log((u + 0.5) / 2.0**53)))
+    if k is None:
+        best = {}
+        for (i, _), w in zip(rows, weight, strict=True):
+            if i in test:
+                best[i] = max(w, best.get(i, w))
+        good, bad = ([w for i, w in best.items() if (named[i] == 1) == yes] for yes in (True, False))
+        cut = min(good) if good and not bad else float("-inf")
+        if good and bad:
+            gain = lambda c: sum(w < c for w in bad) / len(bad) - 4 * sum(w < c for w in good) / len(good)
+            cut = max(sorted(set(good + bad)), key=gain)
+        k = sum(w >= cut - 1e-9 for w in weight)
+    if k <= 0 or not rows:
+        return []
+    least = sorted(keys, reverse=True)[min(k, len(rows)) - 1]
+    return [n for n, x in enumerate(keys) if x >= least - 1e-9]
+
+
+def test_importance_against_brute_force(spark, docs):
+    rows = fixture_rows() + [(100 + k, text_of(int(n), 500 + k)) for k, n in enumerate(np.random.default_rng(9).integers(1, 80, 60))]
+    labels = [(i, int(i % 3 > 0)) for i in range(1, 160)] + [(101, 0), (None, 1), (110, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    told = spark.createDataFrame(labels, "doc_id long, quality int")
+    for k, buckets in ((None, 1 << 16), (7, 1 << 10), (1000, 64)):
+        want = Counter(rows[n] for n in brute_resample(spark, rows, labels, buckets, k=k))
+        assert Counter((r.doc_id, r.text) for r in importance.resample(table, told, k=k, buckets=buckets).collect()) == want
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.floats(-5, 5), min_size=1, max_size=50), st.integers(1, 60))
 def test_largest_key(spark, values, k):
