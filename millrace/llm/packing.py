@@ -2,7 +2,7 @@
 
 After Krell et al., "Efficient Sequence Packing without Cross-contamination" (2021): enumerate
 combinations of at most three lengths that fill a window exactly, find repeat counts x >= 0 that
-minimise the squared difference between A x and the histogram, round them down, and pack what
+minimise the squared difference between A x and the histogram, round them to the nearest number that the pieces allow, and pack what
 is left greedily.  A sequence is padded to the full window unless its length is a power of two,
 so every power of two up to the window is a window to fill; long windows come first.
 
@@ -95,7 +95,7 @@ def plan(histogram: dict[int, int], window: int) -> list[tuple[tuple[int, ...],
             take((w,), int(left[w]))
     columns = combinations(np.flatnonzero(left), window)
     for lengths, x in zip(columns, repeat_counts(columns, left), strict=True):
-        times = int(x + 1e-9)
+        times = int(x + 0.5)
         for v in set(lengths):
             times = min(times, int(left[v]) // lengths.count(v))
         if times > 0:
