@@ -45,8 +45,9 @@ def corpus_counts(texts: DataFrame, buckets: int) -> np.ndarray:
     """How often each bucket occurs in all texts; the driver gets one number a bucket."""
     parts = texts.mapInArrow(worker.lean(_counts(buckets)), "counts array<long>").select(F.posexplode("counts").alias("bucket", "n")).filter("n > 0")
     out = np.zeros(buckets, dtype=np.int64)
-    for r in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r[0]] = r[1]
+    with scratch.small_batches(texts.sparkSession):
+        for r in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+            out[r[0]] = r[1]
     return out
 
 

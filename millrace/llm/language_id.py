@@ -70,8 +70,9 @@ def train(sample: DataFrame, languages: list[str], buckets: int = 1 << 15, smoot
     rows = sample.filter(F.col("lang").isin(languages)).select("text", "lang").mapInArrow(worker.lean(run), "l int, counts array<long>")
     sums = rows.select("l", F.posexplode("counts").alias("b", "n")).filter("n > 0").groupBy("l", "b").agg(F.sum("n").alias("n"))
     counts = np.zeros((len(languages), buckets))
-    for r in sums.collect():
-        counts[r.l, r.b] = r.n
+    with scratch.small_batches(sample.sparkSession):
+        for r in sums.collect():
+            counts[r.l, r.b] = r.n
     return np.log((counts + smoothing) / (counts.sum(axis=1, keepdims=True) + smoothing * buckets))
 
 

@@ -40,12 +40,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> Iterator[None]:
+    """What runs inside goes to Python in Arrow batches of at most so many bytes (or one row), as both
+    sides hold several copies of a batch.  A smaller setting stays; the session's own is put back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key, None)
+    if own is None or (own.rstrip("b").isdigit() and int(own.rstrip("b")) <= most):
+        yield
+        return
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared folder, and read again."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, new_path(df.sparkSession, name))
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -72,11 +91,11 @@ def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFr
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         path = new_path(spark, name)
-        df.write.parquet(path)
+        out = _written(df, path)
         _WRITTEN.get().remove(path)
         if outer is not None:
             outer.append(path)
-        return spark.read.schema(df.schema).parquet(path)
+        return out
 
     try:
         yield keep

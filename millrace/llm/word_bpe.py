@@ -1,7 +1,7 @@
 """Exact ids of a word-end BPE vocabulary, many times faster than one call per text.
 
 Such a tokenizer (lower case, white space dropped, a suffix at each word's end) gives a chunk
-between blanks the same ids wherever it stands.  So chunks are hashed for a megabyte of text at
+between blanks the same ids wherever it stands.  So chunks are hashed for 256 KB of text at
 once, looked up in an open-addressing table of ids kept by chunk, and the ids gathered.  New
 chunks are split into pieces as the tokenizer splits them and merged by a rank-based BPE over
 the same vocabulary, in which a blank stands for the suffix.  Chunks with characters whose
@@ -35,7 +35,7 @@ def _byte_of_char() -> dict[str, int]:
 class WordBpe:
     """slots: size of the table of chunks, a power of two; it is emptied when half full."""
 
-    def __init__(self, path: str, slots: int = 1 << 21):
+    def __init__(self, path: str, slots: int = 1 << 20):
         import regex
         import tiktoken
         from tokenizers import Tokenizer
