@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from functools import reduce
 from typing import NamedTuple
@@ -163,7 +164,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", base: dict[str, str]
     base = base or {}
     ranked = [(r, False) for r in table] + [(Rule(label, 1, phrase, phrase), True) for phrase, label in base.items()]
     gates = gate_words(sorted({r.keyword for r, _ in ranked}))
-    rows = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(gates[r.keyword]).alias("gate"), F.lit(f" {r.keyword} ").alias("keyword"), F.lit(over_places(r.pattern)).alias("pattern"), F.lit(b).alias("base")) for i, (r, b) in enumerate(ranked)])
+    told = [{"rank": i, "label": r.label, "priority": r.priority, "gate": gates[r.keyword], "keyword": f" {r.keyword} ", "pattern": over_places(r.pattern), "base": b} for i, (r, b) in enumerate(ranked)]
+    # One text for Spark to fold into one literal, as building it of columns takes seconds.
+    rows = F.from_json(F.lit(json.dumps(told)), "array<struct<rank:int,label:string,priority:int,gate:string,keyword:string,pattern:string,base:boolean>>")
     gate = F.array(*[F.lit(w) for w in sorted(set(gates.values()))])
 
     out = docs.drop("n_words", "detections")
