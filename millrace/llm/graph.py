@@ -19,7 +19,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges(u, v)``; a component is its smallest node.
 
     No node's neighbours are ever gathered: each round takes minima (combined before the
-    shuffle) and joins them back, and a join on a hub is one that Spark can split.
+    shuffle), writes them, and joins them back.  As both sides of such a join then have a shuffle of their
+    own, one on a hub is one that Spark can split.
     """
     flat = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     flat = scratch.table(flat, "edges")
@@ -29,10 +30,12 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             roots = flat.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return tree.unionByName(roots)
         both = flat.unionByName(flat.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = scratch.table(both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        least = scratch.table(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        flat, old = scratch.table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges"), flat
-        scratch.drop(old)
+        old = flat, low, large, least
+        flat = scratch.table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        for df in old:
+            scratch.drop(df)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
