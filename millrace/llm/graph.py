@@ -19,7 +19,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges(u, v)``; a component is its smallest node.
 
     No node's neighbours are ever gathered: each round takes minima (combined before the
-    shuffle) and joins them back, and a join on a hub is one that Spark can split.
+    shuffle) and joins them back; a join on a hub reads two numbers a neighbour in one task.
     """
     flat = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     flat = scratch.table(flat, "edges")

@@ -1,7 +1,7 @@
 """Words of many texts at once, as numpy arrays: hashes without a Python loop over words.
 
 A word's hash is a polynomial in its bytes over 2**64, taken from prefix sums; texts are
-handled in pieces of about a megabyte that end at a separator, so memory does not follow
+handled in pieces of about 256 KB that end at a separator, so memory does not follow
 the length of a text.
 """
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 from millrace.llm import worker
 
 U = np.uint64
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _BASE = 0x9E3779B97F4A7C13  # 3 modulo 8, so that powers differ in low bits
 
 

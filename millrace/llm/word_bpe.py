@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,8 @@ class WordBpe:
     def __init__(self, path: str, slots: int = 1 << 20):
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.own = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         suffix = spec["model"]["end_of_word_suffix"]
@@ -58,6 +58,15 @@ class WordBpe:
         self.bpe = tiktoken.Encoding("word_bpe", pat_str="[^ \n]+ |\n", mergeable_ranks=ranks, special_tokens={})
         self.slots = slots
         self._clear()
+        del spec, ranks
+        worker.trim()  # the file's text and tables are several times what is kept
+
+    @cached_property
+    def own(self):
+        """The tokenizer itself, loaded when a chunk needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def _clear(self) -> None:
         self.keys = np.zeros(self.slots, dtype=np.uint64)

@@ -26,9 +26,8 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield part
 
 
-def give_back() -> None:
-    for x in KEPT:
-        x.clear()
+def trim() -> None:
+    """Free memory goes back to the system."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -36,6 +35,12 @@ def give_back() -> None:
         pass
 
 
+def give_back() -> None:
+    for x in KEPT:
+        x.clear()
+    trim()
+
+
 def lean(run: Callable) -> Callable:
     """``run``, a function for ``mapInArrow``, over small batches; what it held is given back when it ends."""
 
